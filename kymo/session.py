@@ -5,11 +5,14 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _FALLBACK: dict[str, str] = {}
 _WRITTEN: list[tuple[SparkSession, str]] = []
+_SHIPPED: set[str] = set()
 
 
 def build_session(app: str = "kymo", cpus: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -28,6 +31,20 @@ def build_session(app: str = "kymo", cpus: str | int = "*", shuffle_partitions:
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once an application; they may not have it installed."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    home = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="kymo-ship-")) / "kymo.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(home.rglob("*.py")):
+            z.write(f, f"{home.name}/{f.relative_to(home)}")
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; a temporary folder only where it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
