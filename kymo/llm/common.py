@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kymo.session import ship
+
 #: ASCII white space of the contracts, ``[\x20\x09-\x0D]``; ``bytes.split()`` splits on exactly these.
 SPACE = b" \t\n\r\x0b\x0c"
 
@@ -21,6 +23,7 @@ def arrow_map(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.Record
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
+    ship(df.sparkSession)
     target = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kymo.llm import chat
+from kymo.llm import chat, langid, quality, secret_scan, tokens
 from kymo.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,8 +54,41 @@ FROM f GROUP BY conv_id
 """
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts, base verdict and host verdict of every document."""
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from four fifths of the labelled ones."""
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(True))
+    dictionaries = langid.fit(documents, ~held_out)
+    return langid.classify(documents, dictionaries).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secret_scan.digest(table(spark, sf_dir, "documents"))
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document by the byte-level BPE vocabulary."""
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_language_id": op4_language_id,
+    "op5_secret_scan": op5_secret_scan,
+    "op9_token_counts": op9_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {
