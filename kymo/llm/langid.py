@@ -16,8 +16,8 @@ repeated rows count each; an empty table gives no rows.
 
 from __future__ import annotations
 
-import regex
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,14 +26,18 @@ from kymo.llm.common import arrow_map
 
 UNKNOWN = "und"
 #: Bounds of the training sample, per language.
-SAMPLE_ROWS, DICTIONARY_BYTES = 64, 112 * 1024
+SAMPLE_ROWS, DICTIONARY_BYTES = 200, 256 * 1024
 #: Texts are encoded in pieces, so that the dictionary, not the text itself, predicts them.
 PIECE_BYTES = 4096
 LEVEL = 3
 
 
+_OTHER = regex.compile(r"[^\p{L}]+")
+
+
 def normalise(text: str) -> str:
-    return text.lower()
+    """Each distinct lower-case word once: repeats would be cheap in any language, marks and digits say nothing."""
+    return " ".join(dict.fromkeys(_OTHER.sub(" ", text.lower()).split()))
 
 
 def fit(df: DataFrame, train: Column, sample_rows: int = SAMPLE_ROWS, dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
@@ -60,12 +64,11 @@ class Classifier:
             content = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             content.precompute_compress(level=LEVEL)
             self.encoders.append(zstandard.ZstdCompressor(dict_data=content, write_content_size=False, write_checksum=False, write_dict_id=False))
-        self.letter = regex.compile(r"\p{L}")
 
     def __call__(self, text: str | None) -> tuple[str, float]:
-        if text is None or not self.langs or not self.letter.search(text):
+        raw = b"" if text is None else normalise(text).encode()
+        if not raw or not self.langs:
             return UNKNOWN, 0.0
-        raw = normalise(text).encode()
         pieces = [raw[i : i + PIECE_BYTES] for i in range(0, len(raw), PIECE_BYTES)]
         sizes = [sum(len(e.compress(p)) for p in pieces) for e in self.encoders]
         best = min(sizes)

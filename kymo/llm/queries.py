@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kymo.llm import chat, langid, quality, secret_scan, tokens
+from kymo.llm import chat, decontam, langid, linededup, mixing, quality, secret_scan, tokens
 from kymo.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,16 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(table(spark, sf_dir, "documents"))
 
 
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes from every document."""
+    return mixing.mix(table(spark, sf_dir, "documents"))[1]
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that ten or more documents share."""
+    return linededup.digest(linededup.drop_lines(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
@@ -83,12 +93,21 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.digest(decontam.scan(documents, table(spark, sf_dir, "benchmark")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op3_quality_rules": op3_quality_rules,
     "op4_language_id": op4_language_id,
     "op5_secret_scan": op5_secret_scan,
+    "op6_source_mix": op6_source_mix,
+    "op7_line_dedup": op7_line_dedup,
     "op9_token_counts": op9_token_counts,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE_SQL: dict[str, str] = {
