@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kymo.llm import chat, decontam, langid, linededup, mixing, quality, secret_scan, tokens
+from kymo.llm import chat, decontam, langid, linededup, mixing, neardup, quality, secret_scan, tokens
 from kymo.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,11 @@ FROM f GROUP BY conv_id
 """
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose four-word shingle sets are alike to 0.8 or more."""
+    return neardup.link(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=4, similarity=0.8)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts, base verdict and host verdict of every document."""
     return quality.judge(table(spark, sf_dir, "documents"))
@@ -101,6 +106,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_quality_rules": op3_quality_rules,
     "op4_language_id": op4_language_id,
     "op5_secret_scan": op5_secret_scan,
