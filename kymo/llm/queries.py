@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kymo.llm import chat, decontam, langid, linededup, mixing, neardup, quality, secret_scan, tokens
+from kymo.llm import chat, decontam, langid, linededup, mixing, neardup, pii, quality, secret_scan, tokens
 from kymo.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.digest(linededup.drop_lines(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op8_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and disclosing terms in every document."""
+    return pii.digest(pii.sanitise(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
@@ -112,6 +117,7 @@ QUERIES: dict[str, Query] = {
     "op5_secret_scan": op5_secret_scan,
     "op6_source_mix": op6_source_mix,
     "op7_line_dedup": op7_line_dedup,
+    "op8_private_data": op8_private_data,
     "op9_token_counts": op9_token_counts,
     "op10_decontaminate": op10_decontaminate,
 }
