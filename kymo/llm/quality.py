@@ -127,3 +127,24 @@ def judge(df: DataFrame, id_column: str = "doc_id", host_column: str = "source",
         (~F.col("base_failed") & ~F.col("host_failed")).alias("kept"),
         "host_failed", "shrunk_rate",
     )
+
+
+def passing(df: DataFrame, host_column: str = "source", max_rate: float = 0.5) -> DataFrame:
+    """The rows of ``df`` that pass the base rules and whose host passes; texts are not shuffled by id."""
+    hosts = host_verdicts(cut(document_rules(df, df.columns[0], host_column), "quality"), max_rate)
+    names = df.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", _failed boolean"
+
+    def make():
+        def apply(batch: pa.RecordBatch) -> dict:
+            failed = []
+            for text in utf8(batch):
+                words = text.split()
+                failed.append(len(words) < MIN_WORDS or 100 * repeated_words(words) > MAX_REPEAT_PERCENT * len(words))
+            return {n: batch.column(n) for n in names} | {"_failed": failed}
+
+        return apply
+
+    judged = arrow_map(df, schema, make).where("NOT _failed").drop("_failed")
+    refused = hosts.where("host_failed").select(F.col("host").alias("_host"))
+    return judged.join(refused, judged[host_column].eqNullSafe(F.col("_host")), "left_anti")
