@@ -142,7 +142,7 @@ class SuffixAutomaton:
                 for n, item in short[state]:
                     if n <= matched:
                         hits.append((i - n, i))
-                        items |= self.items[state] if n == matched and length[state] == n else {item}
+                        items.add(item)
         return hits, items
 
 
