@@ -45,6 +45,8 @@ BLOCK = 4096
 _RNG = np.random.default_rng(20240229)
 _MULTIPLY = _RNG.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 _ADD = _RNG.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
+#: Bits of the filter that leaves out texts without candidates.
+FILTER_BITS = 1 << 26
 #: Bound of a worker's cache of word hashes.
 CACHE_WORDS = 1_000_000
 
@@ -103,26 +105,35 @@ def sketch_verdicts(size_a: np.ndarray, size_b: np.ndarray, apart: np.ndarray, s
     expect = n * p
     slope = np.exp(-2 * only / n)
     # deviations: of parity collisions, and of how many common elements the samples hold
-    collisions = np.maximum(n * p * (1 - p) - only * slope**2 * 1.0, 0.0)
+    collisions = np.maximum(n * p * (1 - p) - only * slope**2, 0.0)
     sampling = np.where(rate < 1, 4 * inter * rate * (1 - rate), 0.0) * slope**2
     spread = SIGMAS * np.sqrt(collisions + sampling) + 1.5
+    # collisions only lower a count: with whole sets in the sketches it can't exceed their difference
+    most = np.where(rate < 1, expect + spread, np.minimum(expect + spread, only + 1e-6))
     fits = small >= similarity * large - 1e-9
-    return fits & (apart <= expect + spread), fits & (apart < expect - spread)
+    return fits & (apart <= most), fits & (apart < expect - spread)
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x).sum(axis=-1, dtype=np.int64)
 
 
-def bucket_pairs(ids: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, left: np.ndarray | None, similarity: float) -> list[tuple[int, int]]:
+def met_before(x: np.ndarray, ys: np.ndarray, band: int) -> np.ndarray:
+    """Whether pairs share a band before ``band``, and so were compared there."""
+    return (x[..., :band] == ys[..., :band]).any(axis=-1)
+
+
+def bucket_pairs(ids: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, prints: np.ndarray, band: int, left: np.ndarray | None, similarity: float) -> list[tuple[int, int]]:
     """Pairs of a bucket to confirm: trees over surely alike members, and every undecided pair between trees.
 
-    ``left`` marks the members of the first of two blocks; then only pairs across count.
+    ``left`` marks the members of the first of two blocks; then only pairs
+    across count.  A pair that met in an earlier band is left to that bucket:
+    there it is undecided and kept, or surely alike and joined by a tree.
     """
     n = len(ids)
     tree = np.full(n, -1, dtype=np.int64)
     pairs: list[tuple[int, int]] = []
-    open_pairs: list[tuple[np.ndarray, np.ndarray]] = []
+    undecided: list[tuple[np.ndarray, np.ndarray]] = []
     for root in range(n):
         if tree[root] >= 0:
             continue
@@ -135,17 +146,17 @@ def bucket_pairs(ids: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, left:
                 rest = rest[left[rest] != left[x]]
             if not len(rest):
                 continue
-            apart = _popcount(sketches[rest] ^ sketches[x])
-            may, sure = sketch_verdicts(np.full(len(rest), sizes[x]), sizes[rest], apart, similarity)
+            may, sure = sketch_verdicts(np.full(len(rest), sizes[x]), sizes[rest], _popcount(sketches[rest] ^ sketches[x]), similarity)
             fresh = rest[sure & (tree[rest] < 0)]
             tree[fresh] = root
-            pairs += [(x, int(y)) for y in fresh]
             todo += fresh.tolist()
-            undecided = rest[may & (tree[rest] != root)]
-            undecided = undecided[(tree[undecided] >= 0) | (undecided > root)]
-            if len(undecided):
-                open_pairs.append((np.full(len(undecided), x), undecided))
-    for xs, ys in open_pairs:
+            fresh = fresh[~met_before(prints[x], prints[fresh], band)]
+            pairs += [(x, y) for y in fresh.tolist()]
+            open_ = rest[may & (tree[rest] != root)]
+            open_ = open_[~met_before(prints[x], prints[open_], band)]
+            if len(open_):
+                undecided.append((np.full(len(open_), x), open_))
+    for xs, ys in undecided:
         apart = tree[xs] != tree[ys]
         pairs += zip(xs[apart].tolist(), ys[apart].tolist(), strict=True)
     found = {(min(ids[x], ids[y]), max(ids[x], ids[y])) for x, y in pairs}
@@ -177,7 +188,7 @@ def signatures(df: DataFrame, shingle: int, id_column: str = "doc_id") -> DataFr
 def candidate_pairs(classes: DataFrame, similarity: float) -> DataFrame:
     """``a, b``: pairs of class representatives that the sketches leave to confirm."""
     ship(classes.sparkSession)
-    dealt = classes.select("rep", F.explode("bands").alias("key"))
+    dealt = classes.select("rep", F.posexplode("bands").alias("band", "key"))
     shared = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = dealt.join(shared, "key")
     # blocks of a bucket by a hash of the member; every pair of blocks meets in one place
@@ -186,15 +197,15 @@ def candidate_pairs(classes: DataFrame, similarity: float) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     members = members.withColumn("other", other)
     place = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
-    placed = members.select(place.alias("place"), "rep", F.when(F.col("blocks") > 1, F.when(F.col("block") == F.col("other"), F.lit(0)).when(F.col("block") < F.col("other"), F.lit(1)).otherwise(F.lit(2))).otherwise(F.lit(0)).alias("side"))
-    rows = placed.join(classes.select("rep", "n_shingles", "sketch"), "rep")
+    placed = members.select(place.alias("place"), "rep", "band", F.when(F.col("blocks") > 1, F.when(F.col("block") == F.col("other"), F.lit(0)).when(F.col("block") < F.col("other"), F.lit(1)).otherwise(F.lit(2))).otherwise(F.lit(0)).alias("side"))
+    prints = F.transform("bands", lambda k: F.pmod(k, F.lit(2**31)).cast("int"))
+    rows = placed.join(classes.select("rep", "n_shingles", "sketch", prints.alias("prints")), "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         carry = None
-        seen: set[tuple[int, int]] = set()
 
-        def done(place, ids, sizes, sketches, side) -> Iterator[pa.RecordBatch]:
+        def done(place, ids, sizes, sketches, side, bands, prints) -> Iterator[pa.RecordBatch]:
             cuts = np.flatnonzero(np.diff(place)) + 1
             starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(place)]])
             found: list[tuple[int, int]] = []
@@ -203,17 +214,15 @@ def candidate_pairs(classes: DataFrame, similarity: float) -> DataFrame:
                 apart = _popcount(sketches[two] ^ sketches[two + 1])
                 may, _ = sketch_verdicts(sizes[two], sizes[two + 1], apart, similarity)
                 may &= (side[two] == 0) | (side[two] != side[two + 1])
+                earlier = np.arange(BANDS)[None, :] < bands[two][:, None]
+                may &= ~((prints[two] == prints[two + 1]) & earlier).any(axis=1)
                 found += [(min(x, y), max(x, y)) for x, y in zip(ids[two][may].tolist(), ids[two + 1][may].tolist(), strict=True)]
             for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
                 if e - s > 2:
                     left = side[s:e] == 1 if side[s] else None
-                    found += bucket_pairs(ids[s:e], sizes[s:e], sketches[s:e], left, similarity)
-            fresh = [p for p in dict.fromkeys(found) if p not in seen and p[0] != p[1]]
-            if len(seen) > CACHE_WORDS:
-                seen.clear()
-            seen.update(fresh)
-            if fresh:
-                yield pa.RecordBatch.from_pydict({"a": [p[0] for p in fresh], "b": [p[1] for p in fresh]}, schema=schema)
+                    found += bucket_pairs(ids[s:e], sizes[s:e], sketches[s:e], prints[s:e], int(bands[s]), left, similarity)
+            if found:
+                yield pa.RecordBatch.from_pydict({"a": [p[0] for p in found], "b": [p[1] for p in found]}, schema=schema)
 
         for batch in batches:
             part = (
@@ -222,6 +231,8 @@ def candidate_pairs(classes: DataFrame, similarity: float) -> DataFrame:
                 batch.column("n_shingles").to_numpy(zero_copy_only=False),
                 np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint64).reshape(-1, SKETCH_BITS // 64),
                 batch.column("side").to_numpy(zero_copy_only=False),
+                batch.column("band").to_numpy(zero_copy_only=False),
+                batch.column("prints").flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS),
             )
             if carry is not None:
                 part = tuple(np.concatenate([x, y]) for x, y in zip(carry, part, strict=True))
@@ -238,10 +249,21 @@ def candidate_pairs(classes: DataFrame, similarity: float) -> DataFrame:
     return sorted_rows.mapInArrow(run, "a long, b long").distinct()
 
 
+def _only(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose id may be in ``wanted``: a bitmap of hashed ids, of ``FILTER_BITS / 8`` bytes at most, instead of a shuffle."""
+    place = F.pmod(F.xxhash64("w"), F.lit(FILTER_BITS))
+    maps = wanted.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit")).groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("map"))
+    at = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
+    near = rows.withColumn("_bucket", F.bitmap_bucket_number(at)).withColumn("_bit", F.bitmap_bit_position(at))
+    joined = near.join(F.broadcast(maps), F.col("_bucket") == F.col("bucket"))
+    byte = F.conv(F.hex(F.substring("map", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
+    return joined.where(F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1).select("id", "text")
+
+
 def confirmed(df: DataFrame, pairs: DataFrame, shingle: int, similarity: float, id_column: str = "doc_id") -> DataFrame:
     """The pairs whose full sets reach ``similarity``."""
-    wanted = pairs.select(F.col("a").alias("w")).unionByName(pairs.select(F.col("b").alias("w"))).distinct()
-    texts = df.select(F.col(id_column).alias("id"), "text").join(wanted, F.col("id") == F.col("w"), "left_semi")
+    wanted = pairs.select(F.col("a").alias("w")).unionByName(pairs.select(F.col("b").alias("w")))
+    texts = _only(df.select(F.col(id_column).alias("id"), "text"), wanted)
     percent = round(similarity * 100)
 
     def hashed():
@@ -252,7 +274,7 @@ def confirmed(df: DataFrame, pairs: DataFrame, shingle: int, similarity: float,
 
         return apply
 
-    sets = cut(arrow_map(texts, "id long, shingles binary", hashed).groupBy("id").agg(F.first("shingles").alias("shingles")), "sets")
+    sets = cut(arrow_map(texts, "id long, shingles binary", hashed).groupBy("id").agg(F.min("shingles").alias("shingles")), "sets")
 
     def verify():
         def apply(batch: pa.RecordBatch) -> dict:
