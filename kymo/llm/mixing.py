@@ -29,7 +29,7 @@ from kymo.session import cut
 GOLDEN, POINTS = 1327217885, 2**31
 WEIGHTS = (1, 2, 3)
 SLOT_BUCKET = 65_536
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 1_000
 
 
 def words(text: Column) -> Column:
