@@ -12,8 +12,9 @@ X = np.sin(np.arange(75.0) * 0.29) + 3
 
 def test_subset_equals_full():
     full = features.window_features(X, [X, X * 2, X[::-1]], [X, X, X])
-    for name, family in features.catalogue():
-        assert features.window_features(X, [X, X * 2, X[::-1]], [X, X, X], frozenset([family]))[name] == full[name]
+    assert list(full) == list(features.CATALOGUE) and len(full) == 126
+    for name in features.CATALOGUE:
+        assert features.window_features(X, [X, X * 2, X[::-1]], [X, X, X], [name]) == {name: full[name]}
 
 
 @pytest.mark.parametrize("x", [np.zeros(75), np.full(75, np.nan), np.full(75, 1e-300), np.where(np.arange(75) == 9, np.inf, 1.0)])
@@ -24,17 +25,38 @@ def test_degenerate_windows_are_finite(x):
 def test_zone_order_does_not_matter():
     zones = [X, X * 2 + 1, np.cos(X)]
     a, b = (features.window_features(X, z) for z in (zones, zones[::-1]))
-    assert all(np.isclose(a[k], b[k]) for k in a)
+    assert all(np.isclose(a[k], b[k]) for k in a if not k.startswith("GZONE"))
+    assert np.isclose(a["GZONE1_PERIODICITY"], b["GZONE3_PERIODICITY"])
 
 
 def test_ties_average_all_pairs():
-    zones, pulses = [X, X + 1, X + 2], [X, X, X]
-    assert np.allclose(features.best_pair(zones, pulses)[0], X + 1)
+    view = features.View(X, [X, X + 1, X + 2])
+    assert len(view.top_pairs) == 3 and np.allclose(view.top.raw, view.green.raw)
 
 
 def test_frequency_of_a_sine_at_a_bin():
     x = np.sin(2 * np.pi * 20 * features.FS / 256 * np.arange(125) / features.FS)
-    assert abs(features._frequency("P", x)["P_DOM_FREQ"] - 20 * features.FS / 256) < 0.1
+    view = features.Channel(x, x)
+    assert abs(view.dominant - 20 * features.FS / 256) < 0.1 and view.beats and view.entropy() < 0.6
+    assert view.band_energy() > 0.95
+
+
+def test_common_beat_of_three_zones():
+    x = np.sin(2 * np.pi * 1.17 * np.arange(125) / features.FS)
+    got = features.window_features(np.full(125, 9.0), [x + 100, 2 * x + 90, 3 * x + 80])
+    assert got["G_ZONE_HR_SUPPORT_RATIO"] == 1 and got["G_ZONE_PHASE_CONCENTRATION"] > 0.999 and got["G_PAIR_SPECTRAL_CONSENSUS"] > 0.999
+    assert got["G_ZONE_LAG_RMS_SEC"] == 0 and got["G_PAIR_FREQ_GAP_MEDIAN_HZ"] == 0 and np.isclose(got["G_2OF3_AC_SUPPORT"], 2 / 3)
+    late = features.window_features(np.full(125, 9.0), [x[:115] + 100, x[5:120] + 100, x[10:] + 100])
+    assert late["G_ZONE_LAG_RMS_SEC"] > 0.1 and late["G_ZONE_PHASE_CONCENTRATION"] < 0.8
+
+
+def test_motion_needs_a_recording_and_a_window_a_second():
+    got = features.window_features(X, [X, X, X])
+    assert all(v == 0 for k, v in got.items() if k.startswith("ACC_"))
+    still = features.window_features(X, [X, X, X], [X * 0, X * 0, X * 0 + 1])
+    assert still["ACC_MAG_MEAN"] == still["ACC_GRAVITY_RATIO"] == 1 and still["ACC_BP_RMS"] == 0
+    with pytest.raises(ValueError):
+        features.window_features(X[:20], [X, X, X])
 
 
 def test_unknown_feature_is_refused(spark, sf_dir):
