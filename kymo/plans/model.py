@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kymo.operators import features, ml
+from kymo.functions.exprs import mult_hash
+from kymo.operators import features, kernels, ml, selection
 from kymo.plans.base import CHANNELS, E_SQL, events, lines, query
 from kymo.sources.tables import table
 
@@ -72,3 +73,58 @@ def isotonic_calibration(spark, sf_dir):
 def embedding_components(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").select("vec_id", *[F.col("embedding")[k].cast("double").alias(f"x{k}") for k in range(16)])
     return ml.principal_components(e, "vec_id", [f"x{k}" for k in range(16)], 3)
+
+
+@query()
+def feature_contract(spark, sf_dir):
+    """The governed features in order, as a table."""
+    return spark.createDataFrame(list(enumerate(features.CATALOGUE)), "position int, feature string")
+
+
+@query()
+def fir_bandpass(spark, sf_dir):
+    """Stored windows after the zero-phase band-pass, with 33 taps: they hold 64 points."""
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", F.posexplode(kernels.bandpassed(e, F.col("embedding").cast("array<double>"), taps=33)).alias("pos", "value"))
+
+
+@query()
+def window_complexity(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", kernels.complexities(e, F.col("embedding").cast("array<double>")).alias("c")).select("vec_id", "c.*")
+
+
+def _folded(spark, sf_dir):
+    x = lines(spark, sf_dir).where("split <> 'test'")
+    return x.withColumn("fold", mult_hash(F.col("l_orderkey")) % 2).withColumn("row", F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate"))
+
+
+@query()
+def group_gain_preselection(spark, sf_dir):
+    rows = selection.gains_by_group(_folded(spark, sf_dir), {"size": ["quantity", "price"], "rate": ["discount", "tax"]}, "label", trees=2)
+    return spark.createDataFrame(rows, "feature_group string, feature string, place int, gain double")
+
+
+@query()
+def stability_selection(spark, sf_dir):
+    """Permutation importance over group folds; every fold votes, as these labels are hard to tell."""
+    rows = selection.stability(_folded(spark, sf_dir), CHANNELS, "label", "row", "fold", 2, least_auc=0.0, trees=2)
+    return spark.createDataFrame(rows, "feature string, freq double, importance double, place double, n int")
+
+
+@query()
+def importance_consistency(spark, sf_dir):
+    """Importances on the rows a model was trained on against those on other rows."""
+    x = _folded(spark, sf_dir)
+    train = x.where("split = 'train'")
+    model = ml.fit_trees(train, CHANNELS, "label", trees=2)
+    a, b = (selection.permutation_importance(model, d, CHANNELS, "label", "row")[1] for d in (train, x.where("split = 'valid'")))
+    rho, overlap, only = selection.consistency(a, b, 2)
+    return spark.createDataFrame([(rho, overlap, only)], "rho double, overlap double, first_only array<string>")
+
+
+@query()
+def staged_model_search(spark, sf_dir):
+    grid = [{"trees": 1, "depth": 1}, {"trees": 2, "depth": 2}, {"trees": 2, "depth": 3}]
+    rows = selection.staged_search(_folded(spark, sf_dir), CHANNELS, "label", "fold", 2, grid, 2)
+    return spark.createDataFrame(rows, "candidate int, trees int, depth int, accuracy double, std double, fpr double, nodes int")
