@@ -64,7 +64,7 @@ def repair_spikes(df: DataFrame, entity: str, order: list[str], value: str, fact
     d = d.withColumn("_mad", F.percentile(F.abs(F.col("_d") - F.col("_m")), F.lit(0.5)).over(whole))
     before, after = F.lag(v).over(w), F.lead(v).over(w)
     limit = factor * F.greatest("_mad", F.lit(1e-12))
-    spike = (F.abs(v - before) > limit) & (F.abs(v - after) > limit) & (F.signum(v - before) == F.signum(v - after))
+    spike = (F.abs(v - before) > limit) & (F.abs(v - after) > limit)
     return d.withColumn("repaired", F.when(F.coalesce(spike, F.lit(False)), (before + after) / 2).otherwise(v)).withColumn("is_spike", F.coalesce(spike, F.lit(False)).cast("int")).drop("_d", "_m", "_mad")
 
 

@@ -59,7 +59,7 @@ def moving_averages(spark, sf_dir):
 
 
 @query(f"""WITH {E_SQL}, d AS (SELECT *, lag(value) OVER w AS b, lead(value) OVER w AS a FROM e WINDOW w AS (PARTITION BY user_id ORDER BY i)), m AS (SELECT user_id, mad(value-b) AS mad FROM d GROUP BY 1)
- SELECT d.user_id, i, CASE WHEN coalesce(abs(value-b)>1.5*greatest(mad,1e-12) AND abs(value-a)>1.5*greatest(mad,1e-12) AND sign(value-b)=sign(value-a), false) THEN (a+b)/2 ELSE value END AS repaired FROM d JOIN m USING (user_id)""")
+ SELECT d.user_id, i, CASE WHEN coalesce(abs(value-b)>1.5*greatest(mad,1e-12) AND abs(value-a)>1.5*greatest(mad,1e-12), false) THEN (a+b)/2 ELSE value END AS repaired FROM d JOIN m USING (user_id)""")
 def spike_repair(spark, sf_dir):
     e = series.repair_spikes(events(spark, sf_dir), "user_id", ["i"], "value", 1.5)
     return e.select("user_id", "i", "repaired")
