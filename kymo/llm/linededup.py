@@ -7,6 +7,12 @@ shuffles only keys whose bits are all set in it: exact counts of documents and
 the first occurrence come from those.  Pass three drops the lines.  A filter
 too small for a corpus lets more keys through to the exact count, no less.
 
+With ``long_words``, lines of more words than that are repeats from two
+documents on.  Near copies of each other are not told apart there: a long line
+counts by groups of near copies among the documents that share one, and stays
+in the first group, for near-duplicate removal to reduce whole.  A near copy
+that loses a long line goes at once, as it might be found alike no more.
+
 A line's key is the line without white space ``[\x20\x09-\x0D]`` at its ends,
 A-Z lower-cased; keys are compared by 128-bit hashes.
 
@@ -25,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kymo.llm import neardup
 from kymo.llm.common import SPACE, arrow_map, utf8
 from kymo.session import cut, ship
 
@@ -37,10 +44,15 @@ def line_key(line: bytes) -> bytes:
     return line.strip(SPACE).lower()
 
 
-def _key_hashes(text: bytes, least: int) -> list[bytes]:
-    """128-bit hashes of the distinct keys of a text, of ``least`` code points or more."""
+def _keys(text: bytes, least: int) -> list[bytes]:
+    """Distinct keys of a text, of ``least`` code points or more."""
     keys = {line_key(x) for x in text.split(b"\n")}
-    return [xxhash.xxh3_128_digest(k) for k in keys if len(k) >= least and (least <= 1 or len(k.decode()) >= least)]
+    return [k for k in keys if len(k) >= least and (least <= 1 or len(k.decode()) >= least)]
+
+
+def _key_hashes(text: bytes, least: int) -> list[bytes]:
+    """128-bit hashes of the keys of a text."""
+    return [xxhash.xxh3_128_digest(k) for k in _keys(text, least)]
 
 
 def _positions(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -117,8 +129,11 @@ def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows[at], np.diff(np.append(at, len(rows)))
 
 
-def repeated_keys(df: DataFrame, min_docs: int, least: int, filter_bits: int, id_column: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """Suspected occurrences ``id, k1, k2`` and the exact ``k1, k2, n_docs, first_id`` of keys in ``min_docs`` documents."""
+def repeated_keys(df: DataFrame, min_docs: int, least: int, filter_bits: int, id_column: str = "doc_id", long_words: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Suspected occurrences ``id, k1, k2, long`` and the exact ``k1, k2, n_docs, first_id`` of keys in ``min_docs`` documents.
+
+    Keys of more than ``long_words`` words are ``long`` and not among the exact ones.
+    """
     shared = df.sparkSession.sparkContext.broadcast(seen_twice(df, filter_bits, least))  # filter_bits / 8 bytes
     kind = df.schema[id_column].dataType.simpleString()
 
@@ -126,35 +141,58 @@ def repeated_keys(df: DataFrame, min_docs: int, least: int, filter_bits: int, id
         packed = shared.value
 
         def apply(batch: pa.RecordBatch) -> dict:
-            digests, owner = [], []
+            digests, owner, wide = [], [], []
             for i, text in enumerate(utf8(batch)):
-                found = _key_hashes(text, least)
-                digests += found
+                found = _keys(text, least)
+                digests += [xxhash.xxh3_128_digest(k) for k in found]
                 owner += [i] * len(found)
+                wide += [long_words is not None and len(k.split()) > long_words for k in found]
             if not digests:
-                return {"id": pa.array([], type=batch.column("id").type), "k1": [], "k2": []}
+                return {"id": pa.array([], type=batch.column("id").type), "k1": [], "k2": [], "long": []}
             rows = _as_rows(digests)
             at = _positions(rows, filter_bits)
             known = ((packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1)
             rows = rows[known].view(np.int64)
-            return {"id": batch.column("id").take(pa.array(np.asarray(owner)[known])), "k1": pa.array(rows[:, 0]), "k2": pa.array(rows[:, 1])}
+            return {"id": batch.column("id").take(pa.array(np.asarray(owner)[known])), "k1": pa.array(rows[:, 0]), "k2": pa.array(rows[:, 1]), "long": pa.array(np.asarray(wide)[known])}
 
         return apply
 
-    suspects = cut(arrow_map(df.select(F.col(id_column).alias("id"), "text"), f"id {kind}, k1 long, k2 long", make), "suspects")
-    exact = suspects.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n_docs"), F.min("id").alias("first_id")).where(F.col("n_docs") >= min_docs)
+    suspects = cut(arrow_map(df.select(F.col(id_column).alias("id"), "text"), f"id {kind}, k1 long, k2 long, long boolean", make), "suspects")
+    exact = suspects.where("NOT long").groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n_docs"), F.min("id").alias("first_id")).where(F.col("n_docs") >= min_docs)
     return suspects, exact
 
 
-def drop_lines(df: DataFrame, min_docs: int = 10, least: int = 1, filter_bits: int = 1 << 27, keep_first: bool = False, id_column: str = "doc_id") -> DataFrame:
+def long_repeats(df: DataFrame, suspects: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """``id, k1, k2, first, copy`` of the long keys found in two groups of near copies or more.
+
+    ``first`` says that the document is of the first group, ``copy`` that it is of
+    another one and not the document its group is reduced to.  Ids are longs.
+    """
+    long = suspects.where("long").select("id", "k1", "k2")
+    shared = cut(long.join(long.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), ["k1", "k2"]), "long")
+    owners = shared.select(F.col("id").alias("_id")).distinct()
+    alike = neardup.link(df.join(owners, df[id_column].eqNullSafe(F.col("_id")), "left_semi").select(id_column, "text"), id_column=id_column)
+    groups = alike.groupBy(F.col(id_column).alias("_id")).agg(F.min("component_id").alias("group"), F.max("kept").alias("kept"))
+    placed = cut(shared.join(groups, F.col("id").eqNullSafe(F.col("_id"))).select("id", "k1", "k2", "group", "kept"), "placed")
+    n, named = F.count(F.lit(1)), F.count("group")
+    several = (F.min("group") < F.max("group")) | ((named > 0) & (named < n))
+    spread = placed.groupBy("k1", "k2").agg(F.min("group").alias("first_group"), several.alias("several")).where("several")
+    first = F.col("group").eqNullSafe(F.col("first_group"))
+    return placed.join(spread, ["k1", "k2"]).select("id", "k1", "k2", first.alias("first"), (~first & ~F.col("kept")).alias("copy"))
+
+
+def drop_lines(df: DataFrame, min_docs: int = 10, least: int = 1, filter_bits: int = 1 << 27, keep_first: bool = False, id_column: str = "doc_id", long_words: int | None = None) -> DataFrame:
     """``df`` with ``text`` freed of repeated lines, and ``n_lines, n_dropped``.
 
     ``keep_first`` spares the first line with a key in the first document (by id) that has it.
+    ``long_words`` makes lines of more words repeats from two documents on; they stay where they come first.
     """
-    suspects, exact = repeated_keys(df, min_docs, least, filter_bits, id_column)
-    found = suspects.join(exact, ["k1", "k2"])
-    marks = found.groupBy("id").agg(F.collect_set(F.struct("k1", "k2", (F.col("id").eqNullSafe(F.col("first_id")) & F.lit(keep_first)).alias("first"))).alias("_drop"))
-    joined = df.join(marks.withColumnRenamed("id", "_id"), df[id_column].eqNullSafe(F.col("_id")), "left").drop("_id")
+    suspects, exact = repeated_keys(df, min_docs, least, filter_bits, id_column, long_words)
+    found = suspects.where("NOT long").join(exact, ["k1", "k2"]).select("id", "k1", "k2", (F.col("id").eqNullSafe(F.col("first_id")) & F.lit(keep_first)).alias("first"), F.lit(False).alias("copy"))
+    if long_words is not None:
+        found = found.unionByName(long_repeats(df, suspects, id_column))
+    marks = found.groupBy("id").agg(F.collect_set(F.struct("k1", "k2", "first")).alias("_drop"), F.max("copy").alias("_copy"))
+    joined = df.join(marks.withColumnRenamed("id", "_id"), df[id_column].eqNullSafe(F.col("_id")), "left").where("_copy IS NULL OR NOT _copy").drop("_id", "_copy")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", n_lines long, n_dropped long"
     names = [f.name for f in df.schema]
 

@@ -64,6 +64,18 @@ def test_first_occurrence_stays(spark):
     assert {r["doc_id"]: r["text"] for r in done.collect()} == {i: "same line\nown 0" if i == 0 else f"own {i}" for i in range(12)}
 
 
+def test_long_lines_of_two_documents_go_and_near_copies_stay_whole(spark, sf_dir):
+    long, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "lm")
+    own = {i: " ".join(f"own{i}x{k}" for k in range(60)) for i in range(1, 5)}
+    rows = [(1, f"{own[1]}\n{long}"), (2, f"{long}\n{own[2]}\nfew words"), (3, f"few words\n{own[3]}\n{other}"), (4, f"few words\n{own[3]}\n{other} edited"), (5, f"{own[4]}\nfew words")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    done = corpus_pipeline.line_dedup(spark, docs, sf_dir)
+    want = {**dict(rows), 2: f"{own[2]}\nfew words"}
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in done.collect()} == {i: (t, len(t)) for i, t in want.items()}
+    left = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(done.collect(), docs.schema), sf_dir)
+    assert {r["doc_id"] for r in left.collect()} == {1, 2, 3, 5}
+
+
 def test_tiny_filter_changes_nothing(spark):
     rows = [(i, "\n".join([f"line {j}" for j in range(i, i + 30)])) for i in range(40)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
