@@ -133,6 +133,13 @@ def test_disclosing_terms_and_redaction(spark):
     assert text[3] == "meeting of [TERM] with [EMAIL] about budget 3" and text[101] == "meeting about budget with nobody 1" and text[200] is None
 
 
+def test_terms_of_a_value_in_one_document(spark):
+    rows = [(0, "meeting of zorblatt with kim@corp.org about budget"), (1, "quorn met lee@corp.org"), (2, "quorn met lee@corp.org again")] + [(10 + i, f"meeting about budget with nobody met again {i}") for i in range(30)]
+    done = pii.digest(pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")))
+    got = {r["doc_id"]: r["spans"] for r in done.collect()}
+    assert got[0] == "term:11:19,email:25:37" and got[1] == got[2] == "term:0:5,email:10:22" and got[10] == ""
+
+
 def test_every_slot_reads_one_block(spark, sf_dir):
     reads, taken = mixing.mix(table(spark, sf_dir, "documents"), block_words=256)
     assert reads.groupBy("sid", "pass", "block").count().where("count > 1").count() == 0
