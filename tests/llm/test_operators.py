@@ -140,6 +140,16 @@ def test_terms_of_a_value_in_one_document(spark):
     assert got[0] == "term:11:19,email:25:37" and got[1] == got[2] == "term:0:5,email:10:22" and got[10] == ""
 
 
+def test_context_reaches_past_other_candidates(spark):
+    rows = [(1, "Zorblatt, born 1980, card 4111 1111 1111 1111 or a@b.org c@d.org 12 Quornish"), (2, "")] + [(10 + i, "born card") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {s["kind"]: (s["before"], s["after"]) for s in pii.detect(df).where("id = 1").first()["spans"] if s["value"] != "a@b.org"}
+    text = rows[0][1]
+    assert spans == {"card": (text[:26], text[45:]), "email": (text[:57], text[64:])}
+    got = {r["doc_id"]: [text[s["start"] : s["end"]] for s in r["spans"] if s["kind"] == "term"] for r in pii.sanitise(df).collect()}
+    assert got[1] == ["Zorblatt", "Quornish"] and got[10] == []
+
+
 def test_every_slot_reads_one_block(spark, sf_dir):
     reads, taken = mixing.mix(table(spark, sf_dir, "documents"), block_words=256)
     assert reads.groupBy("sid", "pass", "block").count().where("count > 1").count() == 0
