@@ -71,8 +71,11 @@ def isotonic_calibration(spark, sf_dir):
 
 @query()
 def embedding_components(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings").select("vec_id", *[F.col("embedding")[k].cast("double").alias(f"x{k}") for k in range(16)])
-    return ml.principal_components(e, "vec_id", [f"x{k}" for k in range(16)], 3)
+    """Three components of the whole embedding."""
+    e = table(spark, sf_dir, "embeddings")
+    width = e.agg(F.max(F.size("embedding"))).first()[0]
+    x = e.select("vec_id", *[F.get("embedding", F.lit(k)).cast("double").alias(f"x{k}") for k in range(width)])
+    return ml.principal_components(x, "vec_id", [f"x{k}" for k in range(width)], 3)
 
 
 @query()

@@ -52,6 +52,16 @@ def test_consistency():
     assert np.isclose(rho, -1) and overlap == 0 and only == ["f0", "f1"]
 
 
+def test_components_are_those_of_the_whole_embedding(spark, tmp_path):
+    x = np.random.default_rng(3).normal(size=(60, 20))
+    x[:, 17:] = x[:, 17:18] + 0.1 * x[:, 17:]
+    spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = np.array([list(r)[1:] for r in registry.QUERIES["embedding_components"](spark, str(tmp_path)).orderBy("vec_id").collect()])
+    z = (x - x.mean(axis=0)) / x.std(axis=0, ddof=1)
+    want = z @ np.linalg.svd(z, full_matrices=False)[2][:3].T
+    assert np.allclose(np.abs(got), np.abs(want), atol=1e-8)
+
+
 @pytest.mark.parametrize("name", ["feature_contract", "fir_bandpass", "window_complexity", "group_gain_preselection", "stability_selection", "importance_consistency", "staged_model_search"])
 def test_queries_have_rows(spark, sf_dir, name):
     assert registry.QUERIES[name](spark, sf_dir).count() > 0
