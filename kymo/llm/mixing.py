@@ -104,13 +104,15 @@ def mix(df: DataFrame, block_words: int = 4096, max_repeats: int = 3, seed: int
     keyed = sizes.join(targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").withColumn("h", F.xxhash64(F.lit(seed), F.col("doc_id")))
     n_buckets = F.ceil(F.col("n_docs") / ROWS_PER_BUCKET)
     bucket = F.floor(F.shiftrightunsigned("h", 33) / float(2**31) * n_buckets)
-    placed = row_numbers(keyed, ["sid"], [F.col("h"), F.col("doc_id"), F.col("size")], bucket, F.col("size"), "start")
-    blocks = F.when(F.col("size") > 0, F.sequence(_block_of(F.col("start")), _block_of(F.col("start") + F.col("size") - 1)))
-    parts = placed.withColumn("block", F.explode_outer(blocks))
+    # Rows without words take nothing and share their start with others: they go past the blocks, each as it is.
+    empty = keyed.where("size = 0").select("doc_id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
+    placed = row_numbers(keyed.where("size > 0"), ["sid"], [F.col("h"), F.col("doc_id"), F.col("size")], bucket, F.col("size"), "start")
+    blocks = F.sequence(_block_of(F.col("start")), _block_of(F.col("start") + F.col("size") - 1))
+    parts = placed.withColumn("block", F.explode(blocks))
     low = F.greatest("start", _block_start(F.col("block")))
     high = F.least(F.col("start") + F.col("size"), _block_start(F.col("block") + 1))
     parts = parts.withColumn("low", low).withColumn("high", high).withColumn("block_start", _block_start(F.col("block")))
     joined = parts.join(reads.select("sid", "block", "take"), ["sid", "block"], "left")
     got = F.when(F.col("take").isNull(), 0).otherwise(F.greatest(F.least("high", F.col("block_start") + F.col("take")) - F.col("low"), F.lit(0)))
     out = joined.groupBy("sid", "start", "size", "doc_id", "source_size", "target").agg(F.sum(got).cast("long").alias("taken"))
-    return reads, out.select("doc_id", "size", "source_size", "target", "taken")
+    return reads, out.select("doc_id", "size", "source_size", "target", "taken").unionByName(empty)

@@ -150,6 +150,13 @@ def test_context_reaches_past_other_candidates(spark):
     assert got[1] == ["Zorblatt", "Quornish"] and got[10] == []
 
 
+def test_repeated_rows_without_words_are_kept(spark):
+    rows = [(1, "", "a")] * 3 + [(None, None, "a")] * 2 + [(1, None, None), (1, "", None), (2, "one two", "a"), (2, "one two", "a")]
+    taken = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))[1].collect()
+    assert sorted((r["doc_id"] or 0, r["size"]) for r in taken) == sorted((i or 0, len((t or "").split())) for i, t, _ in rows)
+    assert all(r["taken"] == 0 for r in taken if not r["size"]) and sum(r["taken"] for r in taken) > 0
+
+
 def test_every_slot_reads_one_block(spark, sf_dir):
     reads, taken = mixing.mix(table(spark, sf_dir, "documents"), block_words=256)
     assert reads.groupBy("sid", "pass", "block").count().where("count > 1").count() == 0
