@@ -62,6 +62,15 @@ def test_components_are_those_of_the_whole_embedding(spark, tmp_path):
     assert np.allclose(np.abs(got), np.abs(want), atol=1e-8)
 
 
+def test_stability_is_registered_in_full(spark, sf_dir, monkeypatch):
+    seen = []
+    monkeypatch.setattr(ml, "fit_trees", lambda train, *a, seed=42, **k: seen.append((seed, frozenset(r[0] for r in train.select("fold").distinct().collect()))))
+    monkeypatch.setattr(selection, "permutation_importance", lambda m, d, features, *a: (0.5 if len(seen) == 1 else 0.6, {f: float(k) for k, f in enumerate(features)}))
+    rows = registry.QUERIES["stability_selection"](spark, sf_dir).collect()
+    assert sorted(seen, key=str) == sorted([(s, frozenset(range(5)) - {k}) for s in (1, 7, 42) for k in range(5)], key=str)
+    assert sorted((r["freq"], r["n"]) for r in rows) == [(0.0, 0), (0.0, 0), (1.0, 14), (1.0, 14)]
+
+
 @pytest.mark.parametrize("name", ["feature_contract", "fir_bandpass", "window_complexity", "group_gain_preselection", "stability_selection", "importance_consistency", "staged_model_search"])
 def test_queries_have_rows(spark, sf_dir, name):
     assert registry.QUERIES[name](spark, sf_dir).count() > 0
