@@ -244,7 +244,7 @@ def golden_tolerance_join(spark, sf_dir):
     """Golden values against recomputed ones within absolute and relative tolerances."""
     from kymo.session import cut
 
-    w = cut(event_windows(spark, sf_dir).select("user_id", "wid", "prob"), "golden")
-    g = w.withColumnRenamed("prob", "golden").where("wid % 3 = 0")
+    w = event_windows(spark, sf_dir).select("user_id", "wid", "prob")
+    g = cut(w.withColumnRenamed("prob", "golden"), "golden").where("wid % 3 = 0")
     same = (F.abs(F.col("prob") - F.col("golden")) <= 1e-6 + 1e-5 * F.abs("golden")).cast("int")
     return w.join(g, ["user_id", "wid"]).select("user_id", "wid", same.alias("same"))

@@ -6,8 +6,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from kymo import session
 from kymo.functions import exprs
 from kymo.operators import metrics, series, state
+from kymo.plans import registry
 
 
 def literal_machine(ps, qs, t_on, t_off, k_on, k_off, cooldown, alpha):
@@ -73,6 +75,13 @@ def test_results_do_not_depend_on_partitions(spark):
     assert seen[0] == seen[1] == seen[2]
 
 
+def test_golden_values_that_differ_are_told(spark, sf_dir, monkeypatch):
+    kept = session.cut
+    monkeypatch.setattr(session, "cut", lambda df, tag: kept(df.withColumn(df.columns[-1], F.col(df.columns[-1]) + 0.1 * (F.col("wid") % 2)), tag))
+    rows = registry.QUERIES["golden_tolerance_join"](spark, sf_dir).collect()
+    assert {r["same"] for r in rows} == {0, 1} and all(r["same"] == 1 - r["wid"] % 2 for r in rows)
+
+
 def test_threshold_grid_is_exact(spark):
     t = [r["threshold"] for r in exprs.threshold_grid(spark).orderBy("k").collect()]
     assert len(t) == 181 and t[0] == 0.05 and t[-1] == 0.95 and all(math.isclose(b - a, 0.005, rel_tol=1e-9) for a, b in zip(t, t[1:]))
