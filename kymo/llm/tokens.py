@@ -1,10 +1,11 @@
 """Token counts by a two-tier lookup, all on the map side.
 
 Tier one is a broadcast table of the lengths of frequent pre-tokens (at most
-``table_size`` entries, taken from a sample of about ``sample_rows`` texts; it
-only decides how fast a count is, never what it is).  Tier two is a bounded
-cache in each Python worker, filled by the tokenizer itself.  No pre-token is
-shuffled but those of the sample.
+``table_size`` entries, counted over all texts; it only decides how fast a count
+is, never what it is).  Each task keeps a bounded summary of its pre-tokens
+(at most ``table_size`` reach the shuffle; a count is too low by the cuts that
+its task made, as in Misra and Gries), and the summaries are added up.  Tier two
+is a bounded cache in each Python worker, filled by the tokenizer itself.
 
 Texts with characters outside ``_SAFE`` (where two Unicode versions of the
 pre-token pattern could differ) and texts holding an added token's string go
@@ -17,12 +18,14 @@ gives no rows; extra columns are ignored; repeated rows are counted each.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kymo.llm.common import arrow_map, strings
+from kymo.session import ship
 
 #: Fixed value: the pre-token pattern of byte-level BPE vocabularies of this kind.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -49,34 +52,46 @@ def _tools(path: str) -> tuple:
     return _WORKER[path]
 
 
-def frequent_lengths(df: DataFrame, tokenizer_path: str, table_size: int = 65_536, sample_rows: int = 2_000, seed: int = 7) -> dict[str, int]:
-    """Lengths in tokens of the most frequent pre-tokens of a bounded random sample."""
-    rows = df.count()
-    if not rows:
-        return {}
+def summary(texts: Iterable[list[str]], size: int) -> Counter:
+    """The at most ``size`` heaviest of the listed pieces; memory is bounded by ``4 * size`` and one text."""
+    seen: Counter = Counter()
 
-    def make():
-        _, pattern, unsafe, _, _ = _tools(tokenizer_path)
+    def shrink() -> None:
+        cut = sorted(seen.values(), reverse=True)[size]
+        for p in [p for p, n in seen.items() if n <= cut]:
+            del seen[p]
+        for p in seen:
+            seen[p] -= cut
 
-        def apply(batch: pa.RecordBatch) -> dict:
-            seen: Counter = Counter()
-            for text in strings(batch):
-                if not unsafe.search(text):
-                    seen.update(p for p in pattern.findall(text) if len(p) <= MAX_CACHED_CHARS)
-            return {"piece": list(seen), "n": list(seen.values())}
+    for pieces in texts:
+        seen.update(p for p in pieces if len(p) <= MAX_CACHED_CHARS)
+        if len(seen) > 4 * size:
+            shrink()
+    return Counter(dict(seen.most_common(size)))
 
-        return apply
 
-    sample = df.select("text").sample(withReplacement=False, fraction=min(1.0, sample_rows / rows), seed=seed)
-    counts = arrow_map(sample, "piece string, n long", make).groupBy("piece").agg(F.sum("n").alias("n"))
+def frequent_lengths(df: DataFrame, tokenizer_path: str, table_size: int = 65_536) -> dict[str, int]:
+    """Lengths in tokens of the most frequent pre-tokens of all texts."""
+    ship(df.sparkSession)
+
+    def heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, pattern, unsafe, _, _ = _tools(tokenizer_path)
+        found = summary((pattern.findall(t) for batch in batches for t in strings(batch) if not unsafe.search(t)), table_size)
+        pieces, n = list(found), list(found.values())
+        for at in range(0, len(pieces), 8192):
+            yield pa.RecordBatch.from_pydict({"piece": pieces[at : at + 8192], "n": n[at : at + 8192]}, schema=pa.schema([("piece", pa.string()), ("n", pa.int64())]))
+
+    counts = df.select("text").mapInArrow(heavy, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     pieces = [r["piece"] for r in counts.orderBy(F.desc("n"), "piece").limit(table_size).select("piece").collect()]
+    if not pieces:
+        return {}
     tokenizer = _tools(tokenizer_path)[0]
     return dict(zip(pieces, (len(e.ids) for e in tokenizer.encode_batch(pieces, add_special_tokens=False)), strict=True))
 
 
-def count_tokens(df: DataFrame, tokenizer_path: str, limit: int = 1024, id_column: str = "doc_id", table_size: int = 65_536, sample_rows: int = 2_000) -> DataFrame:
+def count_tokens(df: DataFrame, tokenizer_path: str, limit: int = 1024, id_column: str = "doc_id", table_size: int = 65_536) -> DataFrame:
     """``id, n_bytes, n_tokens, over_limit`` for every row."""
-    shared = df.sparkSession.sparkContext.broadcast(frequent_lengths(df, tokenizer_path, table_size, sample_rows))
+    shared = df.sparkSession.sparkContext.broadcast(frequent_lengths(df, tokenizer_path, table_size))
     kind = df.schema[id_column].dataType.simpleString()
 
     def make():

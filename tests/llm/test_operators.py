@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kymo.llm import chat, components, decontam, linededup, mixing, neardup, pii, secret_scan
+from kymo.llm import chat, components, decontam, linededup, mixing, neardup, pii, queries, secret_scan, tokens
 from kymo.sources.tables import table
 
 
@@ -157,6 +157,13 @@ def test_repeated_rows_without_words_are_kept(spark):
     assert all(r["taken"] == 0 for r in taken if not r["size"]) and sum(r["taken"] for r in taken) > 0
 
 
+def test_frequent_pieces_are_those_of_all_texts(spark):
+    df = spark.range(6000).select(F.concat(F.lit("x"), F.when(F.col("id") == 4321, F.repeat(F.lit(" rarely"), F.lit(9000))).otherwise(F.lit(" often"))).alias("text"))
+    assert set(tokens.frequent_lengths(df, queries.tokenizer_path(), table_size=2)) == {" rarely", "x"}
+    pieces = [[f"p{i}", "heavy"] for i in range(1000)]
+    assert "heavy" in tokens.summary(pieces, 4) and len(tokens.summary(pieces, 4)) <= 4
+
+
 def test_every_slot_reads_one_block(spark, sf_dir):
     reads, taken = mixing.mix(table(spark, sf_dir, "documents"), block_words=256)
     assert reads.groupBy("sid", "pass", "block").count().where("count > 1").count() == 0
