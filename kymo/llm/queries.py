@@ -20,7 +20,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     done = chat.format_chats(source).withColumn("turns", chat.read_back(F.col("formatted")))
     flat = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = chat.loss_text(F.col("segments"))
+    loss = chat.loss_text(F.col("turns"))
     return done.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
@@ -28,6 +28,8 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length(loss).cast("long").alias("loss_chars"),
         F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
+        "first_bad_turn",
     )
 
 
@@ -43,13 +45,18 @@ WITH c AS (
   FROM c
 ), f AS (
   SELECT *, length(body) + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 12 WHEN 'system' THEN 18
-    ELSE 16 + length(role) END AS n FROM m
+    ELSE 16 + length(role) END AS n,
+    row_number() OVER o - 1 AS place, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC) = 1 AS is_last,
+    coalesce(lag(role) OVER o, 'start') || '>' || role IN ('start>system', 'start>user', 'system>user', 'user>assistant', 'assistant>user') AS in_order
+  FROM m WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text)
 )
 SELECT conv_id, count(*)::BIGINT AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-  (3 + sum(n))::BIGINT AS formatted_chars
+  (3 + sum(n))::BIGINT AS formatted_chars,
+  bool_and(in_order) AND bool_or(is_last AND role = 'assistant') AS valid,
+  (min(place) FILTER (WHERE NOT in_order))::BIGINT AS first_bad_turn
 FROM f GROUP BY conv_id
 """
 
