@@ -1,30 +1,36 @@
 r"""Near-duplicate detection: MinHash bands, odd sketches, exact confirmation.
 
 1.  Each document's distinct shingles become 64-bit hashes; their set gives a
-    128-bit signature, ``bands`` MinHash band keys and an odd sketch.  Equal
-    sets are one class, represented by the smallest id.
-2.  Class representatives meet in band buckets.  The sketch is the parity
-    bitmap of a MinHash sample, the ``sample`` smallest hashes of the set (all
-    of them for most texts).  The population count of two sketches' XOR
-    estimates the symmetric difference; pairs that cannot reach the similarity
-    within ``SIGMAS`` deviations are out.  Within a bucket, a member surely
-    alike to a class already in hand is not compared again, so a bucket of
-    copies yields a tree, not all pairs; undecided pairs are all kept.
-3.  Remaining pairs are confirmed on the full sets, and components follow.
-
-A bucket larger than ``block`` members is dealt to pairs of blocks, so no task
+    128-bit signature, ``bands`` MinHash band keys and an odd sketch.  Rows of
+    equal signature are one class, whatever their ids.
+2.  Classes meet in band buckets.  The sketch is the parity bitmap of a MinHash
+    sample, the ``SAMPLE`` smallest hashes of the set (all of them for most
+    texts).  The population count of two sketches' XOR estimates the symmetric
+    difference.  Where the sketches hold both sets whole, it never exceeds the
+    difference, so a pair beyond the threshold's difference is out for certain;
+    pairs of larger sets are out beyond ``SIGMAS`` deviations.  Within a bucket,
+    a member surely alike to a class already in hand is not compared again, so a
+    bucket of copies yields a tree, not all pairs; undecided pairs are all kept.
+3.  Remaining pairs are confirmed on the full sets.  Should a tree's link fail
+    there, the buckets of its two classes are compared once more, without trees
+    and between classes not yet connected; components follow.
+
+A bucket larger than ``BLOCK`` members is dealt to pairs of blocks, so no task
 holds an unbounded group.  With 32 bands of 4, a pair at similarity 0.8 shares
 no bucket with probability 5e-8.
 
 Words are ``[^\x20\x09-\x0D]+`` after A-Z are lower-cased.  Defined cases: null
 or empty text has no shingles and is linked with nothing; fewer words than a
-shingle make one shingle; repeated rows are one class; a null id is a class
-member but represents no other id; an empty table gives no rows.
+shingle make one shingle; every row counts, so that repeated rows are one class
+and one id with two texts is in two classes; a null id is a class member but
+names no component, unless all its members are null; an empty table gives no
+rows; other columns of the input are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kymo.llm.common import arrow_map, mix64, utf8
+from kymo.llm.common import arrow_map, heavy_join, maybe_wanted, mix64, utf8
 from kymo.llm.components import components
 from kymo.session import cut, ship
 
@@ -45,8 +51,6 @@ BLOCK = 4096
 _RNG = np.random.default_rng(20240229)
 _MULTIPLY = _RNG.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 _ADD = _RNG.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
-#: Bits of the filter that leaves out texts without candidates.
-FILTER_BITS = 1 << 26
 #: Bound of a worker's cache of word hashes.
 CACHE_WORDS = 1_000_000
 
@@ -108,8 +112,8 @@ def sketch_verdicts(size_a: np.ndarray, size_b: np.ndarray, apart: np.ndarray, s
     collisions = np.maximum(n * p * (1 - p) - only * slope**2, 0.0)
     sampling = np.where(rate < 1, 4 * inter * rate * (1 - rate), 0.0) * slope**2
     spread = SIGMAS * np.sqrt(collisions + sampling) + 1.5
-    # collisions only lower a count: with whole sets in the sketches it can't exceed their difference
-    most = np.where(rate < 1, expect + spread, np.minimum(expect + spread, only + 1e-6))
+    # collisions only lower a count: with whole sets in the sketches it never exceeds their difference
+    most = np.where(rate < 1, expect + spread, only + 1e-6)
     fits = small >= similarity * large - 1e-9
     return fits & (apart <= most), fits & (apart < expect - spread)
 
@@ -119,12 +123,12 @@ def _popcount(x: np.ndarray) -> np.ndarray:
 
 
 def met_before(x: np.ndarray, ys: np.ndarray, band: int) -> np.ndarray:
-    """Whether pairs share a band before ``band``, and so were compared there."""
+    """Whether pairs share a band key before ``band``, and so were compared there."""
     return (x[..., :band] == ys[..., :band]).any(axis=-1)
 
 
-def bucket_pairs(ids: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, prints: np.ndarray, band: int, left: np.ndarray | None, similarity: float) -> list[tuple[int, int]]:
-    """Pairs of a bucket to confirm: trees over surely alike members, and every undecided pair between trees.
+def bucket_pairs(ids: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, keys: np.ndarray, band: int, left: np.ndarray | None, similarity: float) -> list[tuple[int, int, bool]]:
+    """Pairs of a bucket to confirm, and whether a tree stands on them: trees over surely alike members, every undecided pair between trees.
 
     ``left`` marks the members of the first of two blocks; then only pairs
     across count.  A pair that met in an earlier band is left to that bucket:
@@ -132,8 +136,15 @@ def bucket_pairs(ids: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, print
     """
     n = len(ids)
     tree = np.full(n, -1, dtype=np.int64)
-    pairs: list[tuple[int, int]] = []
+    pairs: dict[tuple[int, int], bool] = {}
     undecided: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(xs, ys, sure: bool) -> None:
+        for x, y in zip(xs, ys, strict=True):
+            a, b = int(ids[x]), int(ids[y])
+            if a != b:
+                pairs.setdefault((min(a, b), max(a, b)), sure)
+
     for root in range(n):
         if tree[root] >= 0:
             continue
@@ -147,24 +158,37 @@ def bucket_pairs(ids: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, print
             if not len(rest):
                 continue
             may, sure = sketch_verdicts(np.full(len(rest), sizes[x]), sizes[rest], _popcount(sketches[rest] ^ sketches[x]), similarity)
-            fresh = rest[sure & (tree[rest] < 0)]
-            tree[fresh] = root
-            todo += fresh.tolist()
-            fresh = fresh[~met_before(prints[x], prints[fresh], band)]
-            pairs += [(x, y) for y in fresh.tolist()]
+            joined = rest[sure & (tree[rest] < 0)]
+            tree[joined] = root
+            todo += joined.tolist()
+            joined = joined[~met_before(keys[x], keys[joined], band)]
+            add([x] * len(joined), joined.tolist(), True)
             open_ = rest[may & (tree[rest] != root)]
-            open_ = open_[~met_before(prints[x], prints[open_], band)]
+            open_ = open_[~met_before(keys[x], keys[open_], band)]
             if len(open_):
                 undecided.append((np.full(len(open_), x), open_))
     for xs, ys in undecided:
         apart = tree[xs] != tree[ys]
-        pairs += zip(xs[apart].tolist(), ys[apart].tolist(), strict=True)
-    found = {(min(ids[x], ids[y]), max(ids[x], ids[y])) for x, y in pairs}
-    return [(int(a), int(b)) for a, b in found if a != b]
+        add(xs[apart].tolist(), ys[apart].tolist(), False)
+    return [(a, b, sure) for (a, b), sure in pairs.items()]
+
+
+def open_pairs(ids: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, labels: np.ndarray, left: np.ndarray | None, similarity: float) -> list[tuple[int, int, bool]]:
+    """Pairs of a bucket that may be alike and whose labels differ."""
+    found = []
+    for x in range(len(ids)):
+        rest = np.arange(x + 1, len(ids))
+        rest = rest[labels[rest] != labels[x]]
+        if left is not None:
+            rest = rest[left[rest] != left[x]]
+        if len(rest):
+            may, _ = sketch_verdicts(np.full(len(rest), sizes[x]), sizes[rest], _popcount(sketches[rest] ^ sketches[x]), similarity)
+            found += [(int(min(ids[x], ids[y])), int(max(ids[x], ids[y])), False) for y in rest[may].tolist()]
+    return found
 
 
 def signatures(df: DataFrame, shingle: int, id_column: str = "doc_id") -> DataFrame:
-    """``id, n_shingles, sig, bands, sketch`` of every row."""
+    """``id, row_key, n_shingles, sig, bands, sketch`` of every row; rows equal in id and text share the key."""
     kind = df.schema[id_column].dataType.simpleString()
 
     def make():
@@ -178,51 +202,61 @@ def signatures(df: DataFrame, shingle: int, id_column: str = "doc_id") -> DataFr
                 out["sig"].append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 out["bands"].append(band_keys(s) if len(s) else None)
                 out["sketch"].append(odd_sketch(s) if len(s) else None)
-            return out | {"id": batch.column("id")}
+            return out | {"id": batch.column("id"), "row_key": batch.column("row_key")}
 
         return apply
 
-    return arrow_map(df.select(F.col(id_column).alias("id"), "text"), f"id {kind}, n_shingles long, sig binary, bands array<long>, sketch binary", make)
+    return arrow_map(_keyed(df, id_column), f"id {kind}, row_key long, n_shingles long, sig binary, bands array<long>, sketch binary", make)
 
 
-def candidate_pairs(classes: DataFrame, similarity: float) -> DataFrame:
-    """``a, b``: pairs of class representatives that the sketches leave to confirm."""
-    ship(classes.sparkSession)
+def _keyed(df: DataFrame, id_column: str) -> DataFrame:
+    return df.select(F.col(id_column).alias("id"), F.xxhash64(F.col(id_column), F.col("text")).alias("row_key"), "text")
+
+
+def _placed(classes: DataFrame, n_classes: int) -> DataFrame:
+    """``place, rep, band, side``: every class once for each place where it meets others."""
     dealt = classes.select("rep", F.posexplode("bands").alias("band", "key"))
     shared = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = dealt.join(shared, "key")
+    members = heavy_join(dealt, shared, ["key"], "n", BANDS * n_classes)
     # blocks of a bucket by a hash of the member; every pair of blocks meets in one place
     blocks = F.ceil(F.col("n") / BLOCK)
     members = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64(F.lit(3), "rep"), F.col("blocks")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    members = members.withColumn("other", other)
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     place = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
-    placed = members.select(place.alias("place"), "rep", "band", F.when(F.col("blocks") > 1, F.when(F.col("block") == F.col("other"), F.lit(0)).when(F.col("block") < F.col("other"), F.lit(1)).otherwise(F.lit(2))).otherwise(F.lit(0)).alias("side"))
-    prints = F.transform("bands", lambda k: F.pmod(k, F.lit(2**31)).cast("int"))
-    rows = placed.join(classes.select("rep", "n_shingles", "sketch", prints.alias("prints")), "rep")
+    side = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)
+    return members.select(place.alias("place"), "rep", "band", side.alias("side"))
+
+
+def _compare(rows: DataFrame, similarity: float, again: bool) -> DataFrame:
+    """``a, b, sure`` of the pairs that a place leaves to confirm; ``again`` compares all members of different ``label``, without trees."""
+    ship(rows.sparkSession)
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sure", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         carry = None
 
-        def done(place, ids, sizes, sketches, side, bands, prints) -> Iterator[pa.RecordBatch]:
+        def done(place, ids, sizes, sketches, side, bands, keys, labels) -> Iterator[pa.RecordBatch]:
             cuts = np.flatnonzero(np.diff(place)) + 1
             starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(place)]])
-            found: list[tuple[int, int]] = []
+            found: list[tuple[int, int, bool]] = []
             two = starts[ends - starts == 2]
             if len(two):  # most buckets: one comparison each, all at once
-                apart = _popcount(sketches[two] ^ sketches[two + 1])
-                may, _ = sketch_verdicts(sizes[two], sizes[two + 1], apart, similarity)
+                may, _ = sketch_verdicts(sizes[two], sizes[two + 1], _popcount(sketches[two] ^ sketches[two + 1]), similarity)
                 may &= (side[two] == 0) | (side[two] != side[two + 1])
-                earlier = np.arange(BANDS)[None, :] < bands[two][:, None]
-                may &= ~((prints[two] == prints[two + 1]) & earlier).any(axis=1)
-                found += [(min(x, y), max(x, y)) for x, y in zip(ids[two][may].tolist(), ids[two + 1][may].tolist(), strict=True)]
+                if again:
+                    may &= labels[two] != labels[two + 1]
+                else:
+                    may &= ~((keys[two] == keys[two + 1]) & (np.arange(BANDS)[None, :] < bands[two][:, None])).any(axis=1)
+                found += [(min(x, y), max(x, y), False) for x, y in zip(ids[two][may].tolist(), ids[two + 1][may].tolist(), strict=True)]
             for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
                 if e - s > 2:
                     left = side[s:e] == 1 if side[s] else None
-                    found += bucket_pairs(ids[s:e], sizes[s:e], sketches[s:e], prints[s:e], int(bands[s]), left, similarity)
+                    if again:
+                        found += open_pairs(ids[s:e], sizes[s:e], sketches[s:e], labels[s:e], left, similarity)
+                    else:
+                        found += bucket_pairs(ids[s:e], sizes[s:e], sketches[s:e], keys[s:e], int(bands[s]), left, similarity)
             if found:
-                yield pa.RecordBatch.from_pydict({"a": [p[0] for p in found], "b": [p[1] for p in found]}, schema=schema)
+                yield pa.RecordBatch.from_pydict(dict(zip(schema.names, map(list, zip(*found, strict=True)), strict=True)), schema=schema)
 
         for batch in batches:
             part = (
@@ -232,7 +266,8 @@ def candidate_pairs(classes: DataFrame, similarity: float) -> DataFrame:
                 np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint64).reshape(-1, SKETCH_BITS // 64),
                 batch.column("side").to_numpy(zero_copy_only=False),
                 batch.column("band").to_numpy(zero_copy_only=False),
-                batch.column("prints").flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS),
+                batch.column("bands").flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS),
+                batch.column("label").to_numpy(zero_copy_only=False),
             )
             if carry is not None:
                 part = tuple(np.concatenate([x, y]) for x, y in zip(carry, part, strict=True))
@@ -245,68 +280,98 @@ def candidate_pairs(classes: DataFrame, similarity: float) -> DataFrame:
         if carry is not None and len(carry[0]):
             yield from done(*carry)
 
-    sorted_rows = rows.repartition("place").sortWithinPartitions("place", "rep")
-    return sorted_rows.mapInArrow(run, "a long, b long").distinct()
+    ordered = rows.select("place", "rep", "n_shingles", "sketch", "side", "band", "bands", "label").repartition("place").sortWithinPartitions("place", "rep")
+    return ordered.mapInArrow(run, "a long, b long, sure boolean")
 
 
-def _only(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows whose id may be in ``wanted``: a bitmap of hashed ids, of ``FILTER_BITS / 8`` bytes at most, instead of a shuffle."""
-    place = F.pmod(F.xxhash64("w"), F.lit(FILTER_BITS))
-    maps = wanted.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit")).groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("map"))
-    at = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-    near = rows.withColumn("_bucket", F.bitmap_bucket_number(at)).withColumn("_bit", F.bitmap_bit_position(at))
-    joined = near.join(F.broadcast(maps), F.col("_bucket") == F.col("bucket"))
-    byte = F.conv(F.hex(F.substring("map", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
-    return joined.where(F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1).select("id", "text")
+def candidate_pairs(classes: DataFrame, n_classes: int, similarity: float) -> DataFrame:
+    """``a, b, sure``: pairs of classes that the sketches leave to confirm; ``sure`` where a tree stands on the pair."""
+    rows = _placed(classes, n_classes).join(classes.select("rep", "n_shingles", "sketch", "bands"), "rep").withColumn("label", F.col("rep"))
+    return _compare(rows, similarity, again=False).groupBy("a", "b").agg(F.max("sure").alias("sure"))
 
 
-def confirmed(df: DataFrame, pairs: DataFrame, shingle: int, similarity: float, id_column: str = "doc_id") -> DataFrame:
-    """The pairs whose full sets reach ``similarity``."""
-    wanted = pairs.select(F.col("a").alias("w")).unionByName(pairs.select(F.col("b").alias("w")))
-    texts = _only(df.select(F.col(id_column).alias("id"), "text"), wanted)
-    percent = round(similarity * 100)
+def _second_look(classes: DataFrame, n_classes: int, failed: DataFrame, links: DataFrame, similarity: float) -> DataFrame:
+    """Pairs to confirm in the buckets of classes with a failed tree link, between classes that ``links`` do not connect."""
+    nodes = failed.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    placed = cut(_placed(classes, n_classes), "placed")
+    places = placed.join(nodes, "rep", "left_semi").select("place").distinct()
+    found = components(links)
+    rows = placed.join(places, "place", "left_semi").join(classes.select("rep", "n_shingles", "sketch", "bands"), "rep").join(found, F.col("rep") == F.col("node"), "left")
+    return _compare(rows.withColumn("label", F.coalesce("component", "rep")), similarity, again=True).distinct()
+
+
+def _shingle_sets(df: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int, id_column: str) -> DataFrame:
+    """``rep, shingles`` of the classes in ``pairs``, made again from one row of each."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    wanted = cut(classes.join(ends, "rep", "left_semi").select("row_key", "rep"), "wanted")
+    texts = maybe_wanted(_keyed(df, id_column), F.col("row_key"), wanted.select("row_key"), "near").where("near").select("row_key", "text")
 
     def hashed():
         cache = _WordHashes()
 
         def apply(batch: pa.RecordBatch) -> dict:
-            return {"id": batch.column("id"), "shingles": [shingle_hashes(t, shingle, cache).tobytes() for t in utf8(batch)]}
+            sets = [shingle_hashes(t, shingle, cache) for t in utf8(batch)]
+            return {"row_key": batch.column("row_key"), "shingles": [s.tobytes() for s in sets]}
 
         return apply
 
-    sets = cut(arrow_map(texts, "id long, shingles binary", hashed).groupBy("id").agg(F.min("shingles").alias("shingles")), "sets")
+    made = arrow_map(texts, "row_key long, shingles binary", hashed).groupBy("row_key").agg(F.min("shingles").alias("shingles"))
+    return cut(wanted.join(made, "row_key").select("rep", "shingles"), "sets")
+
+
+def confirmed(sets: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """``a, b, sure, alike``: whether the full sets of a pair reach ``similarity``."""
+    least = Fraction(str(similarity))
 
     def verify():
         def apply(batch: pa.RecordBatch) -> dict:
-            kept = []
+            alike = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
                 u, v = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
                 both = len(np.intersect1d(u, v, assume_unique=True))
-                kept.append(100 * both >= percent * (len(u) + len(v) - both))
-            at = pa.array(np.flatnonzero(kept), type=pa.int64())
-            return {"a": batch.column("a").take(at), "b": batch.column("b").take(at)}
+                alike.append(least.denominator * both >= least.numerator * (len(u) + len(v) - both))
+            return {c: batch.column(c) for c in ("a", "b", "sure")} | {"alike": alike}
 
         return apply
 
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
-    return arrow_map(both.select("a", "b", "x", "y"), "a long, b long", verify)
+    both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b")
+    return arrow_map(both.select("a", "b", "sure", "x", "y"), "a long, b long, sure boolean, alike boolean", verify)
+
+
+def class_links(df: DataFrame, classes: DataFrame, n_classes: int, shingle: int, similarity: float, id_column: str) -> DataFrame:
+    """``a, b``: confirmed links of classes, enough to connect every two that are alike."""
+    pairs = cut(candidate_pairs(classes, n_classes, similarity), "pairs")
+    judged = cut(confirmed(_shingle_sets(df, classes, pairs, shingle, id_column), pairs, similarity), "judged")
+    links = judged.where("alike").select("a", "b")
+    failed = judged.where("sure AND NOT alike")
+    if failed.isEmpty():
+        return links
+    more = cut(_second_look(classes, n_classes, failed, links, similarity), "more")
+    found = confirmed(_shingle_sets(df, classes, more, shingle, id_column), more, similarity)
+    return cut(links.unionByName(found.where("alike").select("a", "b")).distinct(), "links")
 
 
 def link(df: DataFrame, shingle: int = 5, similarity: float = 0.8, id_column: str = "doc_id") -> DataFrame:
-    """``id, n_shingles, component_id, kept, n_links`` of every row; ids are longs.
+    """``id, n_shingles, component_id, kept, n_links`` of every row, for ids of any type with an order.
 
     ``n_links`` counts the confirmed links of the row's class that were needed
     to connect it.
     """
     signed = cut(signatures(df, shingle, id_column), "signatures")
-    classes = signed.where("sig IS NOT NULL AND id IS NOT NULL").groupBy("sig").agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    classes = cut(classes, "classes")
-    pairs = cut(candidate_pairs(classes, similarity), "pairs")
-    links = cut(confirmed(df, pairs, shingle, similarity, id_column), "links")
+    grouped = signed.where("sig IS NOT NULL").groupBy("sig").agg(F.min("id").alias("first_id"), F.min("row_key").alias("row_key"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("n_rows"))
+    # a class's number is settled once its table is written
+    classes = cut(grouped.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    n_classes, n_rows = classes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_rows"), F.lit(0))).first()
+    links = class_links(df, classes, n_classes, shingle, similarity, id_column)
     found = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    named = classes.select("sig", "rep").join(found, F.col("rep") == F.col("node"), "left").drop("node").join(degree, F.col("rep") == F.col("node"), "left")
-    named = named.select(F.col("sig").alias("s"), F.coalesce("component", "rep").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    out = signed.select("id", "n_shingles", "sig").join(named, F.col("sig") == F.col("s"), "left")
-    component = F.coalesce("component", "id")
+    linked = classes.select("sig", "rep", "first_id", "n_rows").join(found, F.col("rep") == F.col("node")).drop("node").join(degree, F.col("rep") == F.col("node")).drop("node")
+    linked = cut(linked, "linked")
+    smallest = linked.groupBy("component").agg(F.min("first_id").alias("smallest"), F.count(F.lit(1)).alias("n"))
+    named = heavy_join(linked, smallest, ["component"], "n", n_classes).select("sig", "smallest", "n_links", "n_rows")
+    alone = classes.join(linked.select(F.col("rep").alias("r")), F.col("rep") == F.col("r"), "left_anti").select("sig", F.col("first_id").alias("smallest"), F.lit(0).cast("long").alias("n_links"), "n_rows")
+    rows = signed.select("id", "n_shingles", "sig")
+    out = heavy_join(rows.where("sig IS NOT NULL"), named.unionByName(alone), ["sig"], "n_rows", n_rows).select("id", "n_shingles", "smallest", "n_links")
+    out = out.unionByName(rows.where("sig IS NULL").select("id", "n_shingles"), allowMissingColumns=True)
+    component = F.coalesce("smallest", "id")
     return out.select(F.col("id").alias(id_column), "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
