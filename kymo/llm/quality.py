@@ -5,11 +5,15 @@ their code points, symbols, repeated lines and words in repeated three-word
 windows, and applies the base rules.  ``host_verdicts`` aggregates failures by
 host and shrinks each rate towards the corpus with a beta prior fitted to all
 hosts by moments: ``(failures + a) / (documents + a + b)``.  A host is refused
-when its shrunk rate exceeds ``max_rate``; the verdicts are joined back.
+when its shrunk rate lies beyond what the prior allows: ``DEVIATIONS`` standard
+deviations of the fitted prior above its mean, but never under ``LEAST_RATE``
+nor over ``MOST_RATE``; the verdicts are joined back.
 
 Defined cases: null text has no words and fails; a null host is a host of its
 own; no hosts or hosts without spread give the prior ``(rate, 1 - rate)`` times
-``flat_strength``; repeated rows count each; an empty table gives no rows.
+``flat_strength``; repeated rows count each; very long texts are read whole;
+columns that the results are named like are replaced (``judge`` returns the id
+and its results only); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,13 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kymo.llm.common import SPACE, arrow_map, utf8
+from kymo.llm.common import SPACE, arrow_map, fresh, utf8
 from kymo.session import cut
 
 #: Fixed value: the symbols that are counted.
 SYMBOLS = b"#*$%&|<>"
 _SPACE_TABLE = bytes(1 if b in SPACE else 0 for b in range(256))
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
+#: A host's limit: deviations above the prior's mean, and the rates between which it stays.
+DEVIATIONS, LEAST_RATE, MOST_RATE = 3.0, 0.25, 0.5
 
 
 class _Numbers(dict):
@@ -95,8 +101,8 @@ def document_rules(df: DataFrame, id_column: str = "doc_id", host_column: str =
     return arrow_map(source, schema, make)
 
 
-def host_verdicts(rules: DataFrame, max_rate: float = 0.5, flat_strength: float = 2.0) -> DataFrame:
-    """``host, n_docs, n_failed, shrunk_rate, host_failed``; one row per host."""
+def host_verdicts(rules: DataFrame, max_rate: float | None = None, flat_strength: float = 2.0) -> DataFrame:
+    """``host, n_docs, n_failed, shrunk_rate, host_failed``; one row per host.  ``max_rate`` replaces the limit drawn from the prior."""
     hosts = rules.groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed"))
     rate = F.col("n_failed") / F.col("n_docs")
     prior = hosts.agg(
@@ -112,11 +118,19 @@ def host_verdicts(rules: DataFrame, max_rate: float = 0.5, flat_strength: float
         over = row["spread"] / (mean * (1 - mean)) - row["noise"]
         if over > 1e-9:
             strength = min(max((1 - row["noise"]) / over - 1, 1e-3), 1e6)
+    if max_rate is None:
+        max_rate = rate_limit(mean, strength)
     shrunk = (F.col("n_failed") + F.lit(mean * strength)) / (F.col("n_docs") + F.lit(strength))
-    return hosts.select("host", "n_docs", "n_failed", shrunk.alias("shrunk_rate"), (shrunk > max_rate).alias("host_failed"))
+    return hosts.select("host", "n_docs", "n_failed", F.round(shrunk, 9).alias("shrunk_rate"), (shrunk > max_rate).alias("host_failed"))
 
 
-def judge(df: DataFrame, id_column: str = "doc_id", host_column: str = "source", max_rate: float = 0.5) -> DataFrame:
+def rate_limit(mean: float, strength: float) -> float:
+    """The highest rate that a host may have under a beta prior of this mean and strength."""
+    deviation = (mean * (1 - mean) / (strength + 1)) ** 0.5
+    return min(max(mean + DEVIATIONS * deviation, LEAST_RATE), MOST_RATE)
+
+
+def judge(df: DataFrame, id_column: str = "doc_id", host_column: str = "source", max_rate: float | None = None) -> DataFrame:
     """Counts, base verdict, host verdict and ``kept`` for every row."""
     rules = cut(document_rules(df, id_column, host_column), "quality")
     hosts = host_verdicts(rules, max_rate)
@@ -129,22 +143,23 @@ def judge(df: DataFrame, id_column: str = "doc_id", host_column: str = "source",
     )
 
 
-def passing(df: DataFrame, host_column: str = "source", max_rate: float = 0.5) -> DataFrame:
-    """The rows of ``df`` that pass the base rules and whose host passes; texts are not shuffled by id."""
-    hosts = host_verdicts(cut(document_rules(df, df.columns[0], host_column), "quality"), max_rate)
-    names = df.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", _failed boolean"
+def passing(df: DataFrame, host_column: str = "source", max_rate: float | None = None) -> DataFrame:
+    """The rows of ``df`` that pass the base rules and whose host passes; the verdict is written beside each row once."""
+    names, failed = df.columns, fresh(df, "_failed")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + f", `{failed}` boolean"
 
     def make():
         def apply(batch: pa.RecordBatch) -> dict:
-            failed = []
+            verdicts = []
             for text in utf8(batch):
                 words = text.split()
-                failed.append(len(words) < MIN_WORDS or 100 * repeated_words(words) > MAX_REPEAT_PERCENT * len(words))
-            return {n: batch.column(n) for n in names} | {"_failed": failed}
+                verdicts.append(len(words) < MIN_WORDS or 100 * repeated_words(words) > MAX_REPEAT_PERCENT * len(words))
+            return {n: batch.column(n) for n in names} | {failed: verdicts}
 
         return apply
 
-    judged = arrow_map(df, schema, make).where("NOT _failed").drop("_failed")
-    refused = hosts.where("host_failed").select(F.col("host").alias("_host"))
-    return judged.join(refused, judged[host_column].eqNullSafe(F.col("_host")), "left_anti")
+    judged = cut(arrow_map(df, schema, make), "judged")
+    hosts = host_verdicts(judged.select(F.col(host_column).alias("host"), F.col(failed).alias("base_failed")), max_rate)
+    h = fresh(judged, "_host")
+    refused = cut(hosts.where("host_failed").select(F.col("host").alias(h)), "refused")
+    return judged.where(~F.col(failed)).join(refused, F.col(host_column).eqNullSafe(F.col(h)), "left_anti").select(*names)
