@@ -10,11 +10,16 @@ takes the golden-ratio point of ``i``, mapped through the cumulative slot
 weights to a source; the rank of a slot among its source's slots names the
 block to read (ranks past the last block start over).  Slots that the points
 leave open for a source are appended.  Joining slots to blocks gives the words
-taken from each document.
+taken from each document, the first slot that reads it and how many do, so that
+the mix can be written in the order of the schedule.
+
+Every window over sources holds one row a source and is one task; all others are
+over buckets of rows or slots.
 
 Defined cases: null text and null counts have no words; a null source is a
-source of its own; documents without words take nothing; repeated rows are
-mixed each; an empty table gives no rows.
+source of its own; documents without words take nothing and have no slot;
+repeated rows are mixed each; very long texts span several blocks; other columns
+of the input are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -90,7 +95,7 @@ def schedule(targets: DataFrame) -> DataFrame:
 
 
 def mix(df: DataFrame, block_words: int = 4096, max_repeats: int = 3, seed: int = 11) -> tuple[DataFrame, DataFrame]:
-    """The schedule with the block each slot reads, and ``doc_id, size, source_size, target, taken`` of every document."""
+    """The schedule with the block each slot reads, and ``doc_id, size, source_size, target, taken, first_slot, n_slots`` of every document."""
     sizes = cut(df.select("doc_id", "source", words(F.col("text")).alias("size")), "sizes")
     targets = cut(source_targets(sizes, block_words, max_repeats), "targets")
     slots = schedule(targets)
@@ -105,14 +110,16 @@ def mix(df: DataFrame, block_words: int = 4096, max_repeats: int = 3, seed: int
     n_buckets = F.ceil(F.col("n_docs") / ROWS_PER_BUCKET)
     bucket = F.floor(F.shiftrightunsigned("h", 33) / float(2**31) * n_buckets)
     # Rows without words take nothing and share their start with others: they go past the blocks, each as it is.
-    empty = keyed.where("size = 0").select("doc_id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
+    none = F.lit(None).cast("long")
+    empty = keyed.where("size = 0").select("doc_id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"), none.alias("first_slot"), F.lit(0).cast("long").alias("n_slots"))
     placed = row_numbers(keyed.where("size > 0"), ["sid"], [F.col("h"), F.col("doc_id"), F.col("size")], bucket, F.col("size"), "start")
     blocks = F.sequence(_block_of(F.col("start")), _block_of(F.col("start") + F.col("size") - 1))
     parts = placed.withColumn("block", F.explode(blocks))
     low = F.greatest("start", _block_start(F.col("block")))
     high = F.least(F.col("start") + F.col("size"), _block_start(F.col("block") + 1))
     parts = parts.withColumn("low", low).withColumn("high", high).withColumn("block_start", _block_start(F.col("block")))
-    joined = parts.join(reads.select("sid", "block", "take"), ["sid", "block"], "left")
+    joined = parts.join(reads.select("sid", "block", "take", "slot"), ["sid", "block"], "left")
     got = F.when(F.col("take").isNull(), 0).otherwise(F.greatest(F.least("high", F.col("block_start") + F.col("take")) - F.col("low"), F.lit(0)))
-    out = joined.groupBy("sid", "start", "size", "doc_id", "source_size", "target").agg(F.sum(got).cast("long").alias("taken"))
-    return reads, out.select("doc_id", "size", "source_size", "target", "taken").unionByName(empty)
+    joined = joined.withColumn("got", got)
+    out = joined.groupBy("sid", "start", "size", "doc_id", "source_size", "target").agg(F.sum("got").cast("long").alias("taken"), F.min(F.when(F.col("got") > 0, F.col("slot"))).alias("first_slot"), F.count(F.when(F.col("got") > 0, 1)).alias("n_slots"))
+    return reads, out.select(*empty.columns).unionByName(empty)
