@@ -1,32 +1,36 @@
 r"""Benchmark decontamination with a generalised suffix automaton.
 
-The automaton holds the word sequences of all benchmark items.  A document's
-words are streamed through it; the state tells the longest stretch of items
-that ends at each word.  A stretch of ``window`` words or more (or a whole
-shorter item) marks its words as hit, and the states on the suffix path name
-the items.
+The automaton holds the word sequences of benchmark items.  A document's words
+are streamed through it; the state tells the longest stretch of items that ends
+at each word.  A stretch of ``window`` words or more (or a whole shorter item)
+marks its words as hit, and the states on the suffix path name the items.
 
 Words are ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after A-Z are lower-cased.  Items
-are held in blocks of ``block_words`` words, one broadcast automaton each, and
-a document passes through all blocks; memory is bounded by the blocks of one
-pass, whatever the size of the benchmark.
+are dealt to blocks of about ``block_words`` words (an item is never split).
+One block, the usual case, is sent out and every document streamed through its
+automaton where it is.  Of more blocks, one at a time is fetched, sent out and
+streamed; only texts with hits are written, and only rows with such texts are
+joined to them, so that neither the driver nor a worker holds two blocks.  A
+worker builds a block's automaton once, not once a task.
 
 Defined cases: null text has no words; items without words match nothing;
-equal items are all named, equal ids once, a null item id as ``''``; an empty
-benchmark hits nothing; an empty table gives no rows; repeated rows count each.
+equal items are all named, equal ids once, a null item id as ``''``; very long
+texts are streamed whole; repeated rows count each; columns named like a result
+are replaced; an empty benchmark hits nothing; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
+import uuid
 from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kymo.llm.common import arrow_map, strings
+from kymo.llm.common import arrow_map, fresh, maybe_wanted, strings, without
+from kymo.session import cut
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: The same words in a text whose letters are as written.
@@ -65,9 +69,11 @@ class SuffixAutomaton:
         while len(ends) < len(self.next):
             ends.append([])
         order = sorted(range(1, len(self.next)), key=self.length.__getitem__)
+        # only states that hold a window itself are asked for items: nothing is gathered below them
         found: list[set[int]] = [set(x) for x in ends]
         for v in reversed(order):
-            found[self.link[v]] |= found[v]
+            if self.length[self.link[v]] >= window:
+                found[self.link[v]] |= found[v]
         #: For a state with strings of ``window`` words or more: the state on its suffix path that holds the window itself.
         self.at_window = [-1] * len(self.next)
         #: Shorter items that end where a string of the state ends: (words, item).
@@ -80,7 +86,7 @@ class SuffixAutomaton:
             self.short[state].append((self.length[state], item))
         for v in order:
             self.short[v] = self.short[v] + self.short[self.link[v]]
-        self.items = [frozenset(x) for x in found]
+        self.items = {v: frozenset(found[v]) for v in order if self.at_window[v] == v}
 
     def _extend(self, last: int, c: int) -> int:
         nxt, link, length = self.next, self.link, self.length
@@ -146,63 +152,119 @@ class SuffixAutomaton:
         return hits, items
 
 
-def item_blocks(benchmark: DataFrame, block_words: int, id_column: str = "item_id") -> list[list[tuple[str, list[str]]]]:
-    """The items as word lists, in blocks of about ``block_words`` words."""
-    blocks: list[list[tuple[str, list[str]]]] = [[]]
-    room = block_words
-    rows = benchmark.select(F.col(id_column).cast("string").alias("id"), "text").distinct().orderBy("id", "text")
-    for row in rows.toLocalIterator():
-        words = WORD.findall(fold(row["text"] or ""))
-        if blocks[-1] and room < len(words):
-            blocks.append([])
-            room = block_words
-        blocks[-1].append((row["id"] or "", words))
-        room -= len(words)
-    return blocks
+#: The automaton of the last block that this worker process met.
+_LATEST: dict[tuple[str, int], SuffixAutomaton] = {}
 
 
-def scan(df: DataFrame, benchmark: DataFrame, window: int = 10, block_words: int = 200_000, coverage_limit: float = 0.0, cut_text: bool = False) -> DataFrame:
+def _automaton(name: str, shared, window: int) -> SuffixAutomaton:
+    if (name, window) not in _LATEST:
+        _LATEST.clear()
+        _LATEST[name, window] = SuffixAutomaton(shared.value, window)
+    return _LATEST[name, window]
+
+
+def _items(benchmark: DataFrame, block_words: int, id_column: str) -> tuple[DataFrame, int]:
+    """``block, name, text`` of the distinct items, and the number of blocks."""
+    rows = benchmark.select(F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("name"), F.coalesce("text", F.lit("")).alias("text")).distinct()
+    n_words = F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
+    total = rows.agg(F.coalesce(F.sum(n_words), F.lit(0))).first()[0]
+    blocks = max(1, -(-total // block_words))
+    placed = rows.withColumn("block", F.pmod(F.xxhash64("name", "text"), F.lit(blocks)))
+    return (cut(placed, "items") if blocks > 1 else placed), blocks
+
+
+def _fetch(items: DataFrame) -> list[tuple[str, list[str]]]:
+    """The items of one block as word lists, in a fixed order."""
+    rows = items.select("name", "text").collect()  # about block_words words
+    return sorted((r["name"], WORD.findall(fold(r["text"]))) for r in rows)
+
+
+def _hits(df: DataFrame, names: list[str], key: str, found: tuple[str, str, str], shared, window: int) -> DataFrame:
+    """The columns ``names`` of ``df`` with the words, items and hit stretches of each text."""
+    n_words, items, hits = found
+    block = uuid.uuid4().hex
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in names)
+    schema = ", ".join(x for x in (schema, f"`{n_words}` long, `{items}` array<string>, `{hits}` array<int>") if x)
+
+    def make():
+        automaton = _automaton(block, shared, window)
+
+        def apply(batch: pa.RecordBatch) -> dict:
+            out: dict[str, list] = {n_words: [], items: [], hits: []}
+            for text in strings(batch, key):
+                words = WORD.findall(fold(text))
+                spans, named = automaton.stream(words)
+                out[n_words].append(len(words))
+                out[items].append(sorted({automaton.names[k] for k in named}))
+                out[hits].append(_joined(spans))
+            return {n: batch.column(n) for n in names} | out
+
+        return apply
+
+    return arrow_map(df, schema, make)
+
+
+def _hits_by_block(df: DataFrame, names: list[str], found: tuple[str, str, str], items: DataFrame, blocks: int, window: int) -> DataFrame:
+    """What ``_hits`` gives, from one pass a block."""
+    spark = df.sparkSession
+    texts = df.select(F.xxhash64("text").alias("h"), F.md5(F.col("text").cast("binary")).alias("m"), "text")
+    parts = None
+    for block in range(blocks):
+        shared = spark.sparkContext.broadcast(_fetch(items.where(F.col("block") == block)))
+        part = _hits(texts, ["h", "m"], "text", ("n", "i", "s"), shared, window).where(F.size("s") > 0).select("h", "m", "i", "s").distinct()
+        part = cut(part, f"block{block}")
+        shared.unpersist()
+        parts = part if parts is None else parts.unionByName(part)
+    n_words, named, hits = found
+    each = parts.groupBy("h", "m").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("i")))).alias(named), F.flatten(F.collect_list("s")).alias(hits))
+    each = cut(each, "hits")
+    h, m, near = (fresh(df, x) for x in ("_h", "_m", "_near"))
+    keyed = maybe_wanted(df.withColumn(h, F.xxhash64("text")).withColumn(m, F.md5(F.col("text").cast("binary"))), F.col(h), each.select("h"), near)
+    joined = keyed.where(near).join(each, (F.col(h) == each["h"]) & (F.col(m) == each["m"]), "left").select(*names, named, hits)
+    rest = keyed.where(~F.col(near)).select(*names, F.lit(None).cast("array<string>").alias(named), F.lit(None).cast("array<int>").alias(hits))
+    every = joined.unionByName(rest)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in every.schema) + f", `{n_words}` long"
+
+    def unite():
+        def apply(batch: pa.RecordBatch) -> dict:
+            spans = [_joined([*zip(*[iter(s or ())] * 2, strict=True)]) for s in batch.column(hits).to_pylist()]
+            kept = {n: batch.column(n) for n in names} | {named: [x or [] for x in batch.column(named).to_pylist()]}
+            return kept | {hits: spans, n_words: [len(WORD.findall(fold(t))) for t in strings(batch)]}
+
+        return apply
+
+    return arrow_map(every, schema, unite)
+
+
+def scan(df: DataFrame, benchmark: DataFrame, window: int = 10, block_words: int = 2_000_000, coverage_limit: float = 0.0, cut_text: bool = False, id_column: str = "item_id") -> DataFrame:
     """``df`` with ``n_words, n_hit, items, contaminated, over_limit``.
 
     ``over_limit``: more than ``coverage_limit`` of the words are hit.  With
     ``cut_text`` the hit stretches leave the text.
     """
+    df = without(df, "n_words", "n_hit", "items", "contaminated", "over_limit")
     names = list(df.columns)
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
-    out = df.select("*", F.lit(None).cast("array<string>").alias("items"), F.lit(None).cast("array<int>").alias("_hits"), F.lit(0).cast("long").alias("n_words"))
-    schema = ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", items array<string>, _hits array<int>, n_words long"
-    for block in item_blocks(benchmark, block_words):
-        shared = df.sparkSession.sparkContext.broadcast(block)  # block_words words at most, but for one item
-
-        def make(shared=shared):
-            automaton = SuffixAutomaton(shared.value, window)
-
-            def apply(batch: pa.RecordBatch) -> dict:
-                items, hits, counts = batch.column("items").to_pylist(), batch.column("_hits").to_pylist(), []
-                for i, text in enumerate(strings(batch)):
-                    words = WORD.findall(fold(text))
-                    counts.append(len(words))
-                    spans, found = automaton.stream(words)
-                    if spans:
-                        items[i] = sorted({*(items[i] or ()), *(automaton.names[k] for k in found)})
-                        hits[i] = _joined([*zip(*[iter(hits[i] or ())] * 2, strict=True), *spans])
-                return {n: batch.column(n) for n in names} | {"items": items, "_hits": hits, "n_words": counts}
-
-            return apply
-
-        out = arrow_map(out, schema, make)
+    found = ("n_words", "items", fresh(df, "_hits"))
+    items, blocks = _items(benchmark, block_words, id_column)
+    if blocks == 1:
+        shared = df.sparkSession.sparkContext.broadcast(_fetch(items))
+        out = _hits(df, names, "text", found, shared, window)
+    else:
+        out = _hits_by_block(df, names, found, items, blocks, window)
+    hits = found[2]
     if cut_text:
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
 
         def cutter():
             def apply(batch: pa.RecordBatch) -> dict:
-                found = zip(batch.column("text").to_pylist(), batch.column("_hits").to_pylist(), strict=True)
-                return {n: batch.column(n) for n in batch.schema.names} | {"text": [without(t, h) if h else t for t, h in found]}
+                pairs = zip(batch.column("text").to_pylist(), batch.column(hits).to_pylist(), strict=True)
+                return {n: batch.column(n) for n in batch.schema.names} | {"text": [cut_out(t, h) if h else t for t, h in pairs]}
 
             return apply
 
         out = arrow_map(out, schema, cutter)
-    hit = F.aggregate(F.coalesce("_hits", F.array()), F.struct(F.lit(0).cast("long").alias("sum"), F.lit(-1).alias("sign")), lambda a, x: F.struct((a["sum"] + a["sign"] * x).alias("sum"), (-a["sign"]).alias("sign")))["sum"]
-    return out.select(*names, "n_words", hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items")).select(
+    hit = F.aggregate(hits, F.struct(F.lit(0).cast("long").alias("sum"), F.lit(-1).alias("sign")), lambda a, x: F.struct((a["sum"] + a["sign"] * x).alias("sum"), (-a["sign"]).alias("sign")))["sum"]
+    return out.select(*names, "n_words", hit.alias("n_hit"), "items").select(
         "*", (F.col("n_hit") > 0).alias("contaminated"), (F.col("n_hit") > coverage_limit * F.greatest("n_words", F.lit(1))).alias("over_limit")
     )
 
@@ -218,7 +280,7 @@ def _joined(spans: list[tuple[int, int]]) -> list[int]:
     return flat
 
 
-def without(text: str, hits: list[int]) -> str:
+def cut_out(text: str, hits: list[int]) -> str:
     """The text without the characters from the first to the last word of each hit stretch."""
     at = [m.span() for m in RAW_WORD.finditer(text)]
     out, last = [], 0
