@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +30,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
         "valid",
-        "first_bad_turn",
+        F.coalesce("first_bad_turn", F.lit(-1)).alias("first_bad_turn"),
     )
 
 
@@ -56,7 +57,7 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   (3 + sum(n))::BIGINT AS formatted_chars,
   bool_and(in_order) AND bool_or(is_last AND role = 'assistant') AS valid,
-  (min(place) FILTER (WHERE NOT in_order))::BIGINT AS first_bad_turn
+  coalesce(min(place) FILTER (WHERE NOT in_order), -1)::BIGINT AS first_bad_turn
 FROM f GROUP BY conv_id
 """
 
@@ -116,6 +117,76 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(decontam.scan(documents, table(spark, sf_dir, "benchmark")))
 
 
+#: Words of the documents with their positions, from one.
+_WORDS = r"""d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents),
+ l AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d)"""
+
+OP3_SQL = rf"""
+WITH {_WORDS}, w AS (SELECT rid, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS p FROM l),
+ g AS (SELECT rid, p, w || ' ' || lead(w) OVER o || ' ' || lead(w, 2) OVER o AS g FROM w WINDOW o AS (PARTITION BY rid ORDER BY p)),
+ r AS (SELECT rid, p, count(*) OVER (PARTITION BY rid, g) AS n FROM g WHERE g IS NOT NULL),
+ h AS (SELECT rid, count(DISTINCT p + k) AS n_repeat_words FROM r, (SELECT unnest([0, 1, 2]) AS k) WHERE n > 1 GROUP BY 1),
+ y AS (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM l),
+ z AS (SELECT rid, count(*) - count(DISTINCT line) AS n_dup_lines FROM y WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY 1),
+ q AS (SELECT l.rid, doc_id, source, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars, (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+  coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words FROM l LEFT JOIN h USING (rid) LEFT JOIN z USING (rid)),
+ b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM q),
+ s AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed) AS f FROM b GROUP BY 1),
+ p AS (SELECT sum(f) / sum(n) AS m, var_pop(f / n) AS spread, avg(1.0::DOUBLE / n) AS noise FROM s),
+ o AS (SELECT m, CASE WHEN m > 0 AND m < 1 AND spread / (m * (1 - m)) - noise > 1e-9 THEN least(greatest((1 - noise) / (spread / (m * (1 - m)) - noise) - 1, 1e-3), 1e6) ELSE 2.0 END AS k FROM p),
+ v AS (SELECT source, (f + m * k) / (n + k) AS rate, least(greatest(m + 3 * sqrt(m * (1 - m) / (k + 1)), {quality.LEAST_RATE}), {quality.MOST_RATE}) AS most FROM s, o)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT rate > most AS kept, rate > most AS host_failed, round(rate, 9) AS shrunk_rate
+FROM b JOIN v ON b.source IS NOT DISTINCT FROM v.source
+"""
+
+_KIND = "SELECT rid, {rank} AS rank, '{kind}' AS kind, {least} AS least, regexp_extract_all(t, '{pattern}') AS ms, regexp_split_to_array(t, '{pattern}') AS ps, regexp_extract_all(t, '{pattern}', {group}) AS gs FROM d"
+
+
+def _op5_sql() -> str:
+    """Positions from the lengths of the pieces between the matches of each expression."""
+
+    def plain(rule: secret_scan.Rule) -> str:
+        pattern = rule.pattern.replace("(?<![0-9a-f])", "").replace("'", "''")
+        return re.sub(r"\(\?i:(.*?)\)(?=\[\")", lambda m: re.sub("[a-z]", lambda c: f"[{c[0]}{c[0].upper()}]", m[1]), pattern)
+
+    kinds = " UNION ALL ".join(_KIND.format(rank=k, kind=r.kind, least=r.least, pattern=plain(r), group=r.group) for k, r in enumerate(secret_scan.RULES))
+    base = ", ".join(f"'{r.kind}'" for r in secret_scan.RULES if r.base)
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents), k AS ({kinds}),
+ u AS (SELECT rid, rank, kind, least, unnest(ms) AS m, unnest(gs) AS g, unnest(ps[1:len(ms)]) AS p, unnest(range(1, len(ms) + 1)) AS i FROM k),
+ c AS (SELECT *, sum(length(p)) OVER w + sum(length(m)) OVER w AS stop FROM u WINDOW w AS (PARTITION BY rid, rank ORDER BY i)),
+ s AS (SELECT rid, rank, kind, (stop - length(m))::BIGINT AS a, stop::BIGINT AS b FROM c WHERE length(g) >= least),
+ x AS (SELECT rid, kind IN ({base}) AS base, kind, kind || ':' || a || ':' || b AS span, a, rank FROM s)
+SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+ sha256(coalesce(string_agg(span, ',' ORDER BY a, rank) FILTER (WHERE base), '')) AS base_sha256, coalesce(string_agg(span, ',' ORDER BY a, rank), '') AS spans
+FROM d LEFT JOIN x USING (rid) GROUP BY rid, doc_id
+"""
+
+
+OP7_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+ l AS (SELECT rid, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM d),
+ k AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+ r AS (SELECT key FROM (SELECT DISTINCT rid, key FROM k WHERE key <> '') GROUP BY key HAVING count(*) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE r.key IS NOT NULL) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE r.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN r ON k.key = r.key GROUP BY rid, doc_id
+"""
+
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP10_SQL = rf"""
+WITH b AS (SELECT DISTINCT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+ s AS (SELECT item, ws, least(len(ws), 10) AS n, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS p FROM b WHERE len(ws) > 0),
+ win AS (SELECT DISTINCT item, n, array_to_string(ws[p:p + n - 1], ' ') AS g FROM s),
+ d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+ x AS (SELECT rid, ws, unnest(range(1, len(ws) + 1)) AS p FROM d),
+ y AS (SELECT rid, p, n, array_to_string(ws[p:p + n - 1], ' ') AS g FROM x, (SELECT DISTINCT n FROM win) WHERE p + n - 1 <= len(ws)),
+ h AS (SELECT rid, p, y.n, item FROM y JOIN win ON win.n = y.n AND win.g = y.g),
+ w AS (SELECT rid, count(DISTINCT q) AS n_hit FROM (SELECT rid, unnest(range(p, p + n)) AS q FROM h) GROUP BY 1),
+ i AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM h) GROUP BY 1)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN w USING (rid) LEFT JOIN i USING (rid)
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op2_near_duplicates": op2_near_duplicates,
@@ -131,4 +202,8 @@ QUERIES: dict[str, Query] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": OP1_SQL,
+    "op3_quality_rules": OP3_SQL,
+    "op5_secret_scan": _op5_sql(),
+    "op7_line_dedup": OP7_SQL,
+    "op10_decontaminate": OP10_SQL,
 }

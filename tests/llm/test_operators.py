@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kymo.llm import chat, components, decontam, linededup, mixing, neardup, pii, queries, secret_scan, tokens
+from kymo.llm import chat, components, decontam, linededup, mixing, neardup, pii, quality, queries, secret_scan, tokens
 from kymo.sources.tables import table
 
 
@@ -187,3 +187,84 @@ def test_pipeline_stages_against_brute_force(spark, sf_dir):
             kept = [i for i in after if sets.get(i)]
             assert not any(100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) for a in kept for b in kept if a < b)
     assert corpus_pipeline.source_mix(spark, docs, sf_dir).count() == docs.count()
+
+
+def test_one_id_with_two_texts_loses_no_link(spark):
+    base = [f"w{i}" for i in range(63)]
+    near = [*base[:-1], "other"]
+    rows = [(3, " ".join(base)), (3, "quite another text of eight words or so"), (5, " ".join(near)), (9, "quite another text of eight words or so"), (None, " ".join(base)), (7, None)]
+    got = sorted(((r["doc_id"] or 0, r["n_shingles"]), r["component_id"]) for r in neardup.link(spark.createDataFrame(rows, "doc_id long, text string"), shingle=4).collect())
+    assert got == [((0, 60), 3), ((3, 5), 3), ((3, 60), 3), ((5, 60), 3), ((7, 0), 7), ((9, 5), 3)]
+
+
+def test_links_behind_a_failed_tree_link_are_found(spark, monkeypatch):
+    """Sketches that call everything alike make trees of unlike texts; the second look mends them."""
+    import numpy as np
+
+    monkeypatch.setattr(neardup, "sketch_verdicts", lambda a, b, apart, s: (np.ones(len(b), dtype=bool),) * 2)
+    monkeypatch.setattr(neardup, "band_keys", lambda s: np.arange(neardup.BANDS, dtype=np.int64))
+    rnd = random.Random(4)
+    rows = []
+    for f in range(4):
+        base = [f"f{f}w{i}" for i in range(80)]
+        rows += [(10 * f + i, " ".join([*base[:-1], f"x{rnd.random()}"] if i else base)) for i in range(5)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r["component_id"] for r in neardup.link(df, shingle=4).collect()}
+    assert got == {i: i // 10 * 10 for i, _ in rows}
+
+
+def test_thresholds_are_exact(spark):
+    rows = [(1, "a b c d e f g h"), (2, "a b c d e f g x")]  # 4 of 6 windows of four words
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for least, linked in ((0.666, True), (0.667, False)):
+        got = {r["component_id"] for r in neardup.link(df, shingle=4, similarity=least).collect()}
+        assert (got == {1}) == linked
+
+
+def test_first_occurrence_is_one_row_of_a_repeated_id(spark):
+    rows = [(1, "same line\nown %d" % i) for i in range(6)] + [(2, "same line\nmore %d" % i) for i in range(6)]
+    done = linededup.drop_lines(spark.createDataFrame(rows, "doc_id long, text string"), keep_first=True).collect()
+    assert sum("same line" in r["text"] for r in done) == 1 and [r["doc_id"] for r in done if "same line" in r["text"]] == [1]
+
+
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_many_dropped_keys_are_joined_instead(spark, keep_first):
+    rows = [(i, "\n".join(f"line {j}" for j in range(i % 7, i % 7 + 30)) + f"\nown {i}") for i in range(60)] + [(None, None), (61, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    one, two = (sorted(map(repr, linededup.drop_lines(df, keep_first=keep_first, broadcast_keys=n).collect())) for n in (0, 1 << 18))
+    assert one == two and any("n_dropped=30" in x for x in one)
+
+
+def test_clashing_columns_are_replaced_or_kept(spark):
+    """Columns named like an operator's own results are replaced, columns named like its inner ones stay."""
+
+    def frame(rows, *names):
+        return spark.createDataFrame([(*r, *["mine"] * len(names)) for r in rows], "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
+
+    words = "a1 a2 a3 a4 a5 a6 a7 a8 a9 a10"
+    items = spark.createDataFrame([(1, words)], "item_id long, text string")
+    for block_words in (5, 1000):
+        done = decontam.scan(frame([(1, words, "s")], "items", "N_WORDS", "over_limit", "_hits", "_h", "_near"), items, block_words=block_words).first()
+        assert done["n_hit"] == 10 and done["items"] == ["1"] and done["_hits"] == done["_h"] == done["_near"] == "mine"
+    inner = ["_id", "_row", "_drop", "_copy", "_near", "_i", "h", "id"]
+    done = linededup.drop_lines(frame([(1, words, "s")], "n_lines", *inner), keep_first=True, broadcast_keys=0).first()
+    assert done["n_lines"] == 1 and {done[n] for n in inner} == {"mine"}
+    done = quality.passing(frame([(1, " ".join(f"w{i}" for i in range(60)), "s")], "_failed", "_host", "host")).first()
+    assert done["_failed"] == done["_host"] == done["host"] == "mine"
+    df = frame([(1, "write to kim@corp.org", "s"), (2, "nothing", "s")], "_key", "_s", "_near", "_clean", "i")
+    assert {(r["doc_id"], r["_key"], r["_near"], r["i"]) for r in pii.redact(df, pii.sanitise(df)).collect()} == {(1, "mine", "mine", "mine"), (2, "mine", "mine", "mine")}
+
+
+def test_pipeline_stages_on_awkward_rows(spark, sf_dir):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (3, long, "en", "a", 9), (3, long, "en", "a", 9), (3, long + " x", "en", "b", 9), (None, "only " + long, None, None, 1), (4, " ".join(f"v{i}" for i in range(60_000)), "en", "a", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for kept in (rows, []):
+        docs = spark.createDataFrame([(*r, "y") for r in kept], schema + ", n_words string")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, sf_dir)
+            assert docs.columns == corpus_pipeline.COLUMNS
+            docs = spark.createDataFrame(docs.collect(), docs.schema)
+        assert sorted((r["doc_id"] or 0) for r in docs.collect()) == ([3, 4] if kept else [])
+        assert corpus_pipeline.source_mix(spark, docs, sf_dir).count() == docs.count()
