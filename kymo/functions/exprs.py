@@ -87,3 +87,47 @@ def safe_name(x: Column) -> Column:
 def mult_hash(x: Column, modulus: int = 2**32) -> Column:
     """Multiplicative hash in plain integer arithmetic, reproducible in any SQL."""
     return (x.cast("bigint") * F.lit(2654435761)) % F.lit(modulus)
+
+
+def first_below(x: Column, edges: list[tuple[float, str]], last: str, missing: str) -> Column:
+    """The label of the first edge above ``x``; ``last`` beyond all, ``missing`` for null, NaN and infinities."""
+    out = F.when(~is_finite(x), F.lit(missing))
+    for edge, label in edges:
+        out = out.when(x < edge, F.lit(label))
+    return out.otherwise(F.lit(last))
+
+
+def ood_bin(x: Column) -> Column:
+    """Shares of outliers: none, some, many."""
+    return F.when(~is_finite(x), "ood=missing").when(x <= 0, "ood=0").when(x < 0.3, "ood=0-0.3").otherwise("ood>=0.3")
+
+
+#: The bins of reports.  A null count or mean probability is 0.
+REPORT_BINS = {
+    "n_windows": lambda x: F.when(F.coalesce(x, F.lit(0)) == 0, "nwin=0").when(x <= 3, "nwin=1-3").when(x <= 10, "nwin=4-10").otherwise("nwin>10"),
+    "mean_prob": lambda x: first_below(F.coalesce(x, F.lit(0.0)), [(0.3, "mean_prob<0.3"), (0.6, "mean_prob=0.3-0.6")], "mean_prob>=0.6", "mean_prob>=0.6"),
+    "window_prob": lambda x: first_below(x, [(0.2, "prob<0.2"), (0.5, "prob=0.2-0.5"), (0.8, "prob=0.5-0.8")], "prob>=0.8", "prob>=0.8"),
+    "start": lambda x: first_below(x, [(6.0, "start<6s"), (15.0, "start=6-15s")], "start>=15s", "start>=15s"),
+    "ood": ood_bin,
+    "quality": lambda x: first_below(x, [(1.0, "quality_meta<1"), (10.0, "quality_meta=1-10")], "quality_meta>=10", "quality=missing"),
+    "green_support": lambda x: first_below(x, [(2.0 / 3.0, "<2of3"), (1.0, "2of3")], "3of3", "missing"),
+    "green_corr": lambda x: first_below(x, [(0.50, "low_corr"), (0.85, "mid_corr")], "high_corr", "missing"),
+    "green_gap": lambda x: F.when(~is_finite(x), "missing").when(x > 0.60, "large_gap").when(x > 0.25, "mid_gap").otherwise("low_gap"),
+    "green_stability": lambda x: first_below(x, [(0.35, "low_stability"), (0.75, "mid_stability")], "high_stability", "missing"),
+    "green_top2_ratio": lambda x: F.when(is_finite(x) & (x > 0.90), "single_dominant").otherwise("balanced_top2"),
+}
+
+#: Names of the infrared channel.
+INFRARED_PREFIXES = ("IR_", "IRX_", "GREEN_IR_", "IR_AMB_", "IR_over_", "log_IR_", "corr_IR_", "ACC_IR_")
+INFRARED_NAMES = ("corr_Ambient_IR",)
+
+
+def without_infrared(names: list[str]) -> list[str]:
+    """The names that do not come from the infrared channel, in their order."""
+    return [n for n in names if n not in INFRARED_NAMES and not n.startswith(INFRARED_PREFIXES)]
+
+
+def aligned_slice(values: Column, start: Column, length: Column, ratio: float) -> Column:
+    """The part of an array under a window of another one whose rate is ``1 / ratio`` times its own; null if it starts beyond the end."""
+    lo = (start * F.lit(ratio)).cast("int")
+    return F.when(lo < F.size(values), F.slice(values, lo + 1, (length * F.lit(ratio)).cast("int")))

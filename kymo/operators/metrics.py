@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kymo.functions.exprs import confusion, rates, safe_div
+from kymo.functions.exprs import confusion, rates, safe_div, threshold_grid
 
 
 def long_features(df: DataFrame, keep: list[str], features: list[str]) -> DataFrame:
@@ -69,3 +69,18 @@ def stratified_sample(df: DataFrame, strata_columns: list[str], key: Column, per
     """``per`` rows of each stratum in hash order: the same rows on every run and partitioning."""
     w = Window.partitionBy(*strata_columns).orderBy(key)
     return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= per).drop("_r")
+
+
+def threshold_curve(df: DataFrame, prob: str, label: str) -> DataFrame:
+    """``k, threshold`` and the exact rates of all 181 thresholds, from one pass: counts per cell, then suffix sums over 181 rows."""
+    spark = df.sparkSession
+    grid = threshold_grid(spark)
+    cuts = [r["threshold"] for r in grid.orderBy("k").collect()]  # 181 constants
+    at = F.aggregate(F.array(*map(F.lit, cuts)), F.lit(-1), lambda a, t: a + F.when(t <= F.col(prob), 1).otherwise(0))
+    cells = df.groupBy(at.cast("long").alias("c")).agg(F.sum(label).alias("p"), F.sum(1 - F.col(label)).alias("n"))
+    every = spark.range(-1, 181).select(F.col("id").alias("c")).join(cells, "c", "left").fillna(0)
+    up, whole = Window.orderBy("c").rowsBetween(0, Window.unboundedFollowing), Window.partitionBy()
+    x = every.select("c", F.sum("p").over(up).alias("tp"), F.sum("n").over(up).alias("fp"), F.sum("p").over(whole).alias("P"), F.sum("n").over(whole).alias("N")).where("c >= 0")
+    tp, fp, tn, fn = F.col("tp"), F.col("fp"), F.col("N") - F.col("fp"), F.col("P") - F.col("tp")
+    rates_ = x.select(F.col("c").alias("k"), safe_div(tp + tn, tp + fp + tn + fn).alias("accuracy"), safe_div(tp, tp + fp).alias("precision"), safe_div(tp, tp + fn).alias("recall"), safe_div(2 * tp, 2 * tp + fp + fn).alias("f1"), safe_div(fp, fp + tn).alias("fpr"))
+    return grid.join(rates_, "k")

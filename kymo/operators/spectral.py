@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+
+from kymo.session import ship
 
 #: Zero-padded transform length, and bins of 0.5 to 5 Hz at 25 Hz.
 N_FFT, FIRST_BIN, LAST_BIN = 256, 6, 51
@@ -28,15 +34,25 @@ def spectrum(df: DataFrame, key: str, pos: str, x: str, n: int) -> DataFrame:
     return s.select(key, "s.k", F.sqrt(F.col("s.re") * F.col("s.re") + F.col("s.im") * F.col("s.im")).alias("magnitude"))
 
 
-def autocorrelation_peak(values, low: int, high: int):
-    """Largest normalised autocorrelation of an array over the lags ``low..high``, by higher-order functions."""
-    n = F.size(values)
-    mean = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / n
-    c = F.transform(values, lambda v: v - mean)
-    r0 = F.aggregate(c, F.lit(0.0), lambda a, v: a + v * v)
-
-    def at(lag):
-        left, right = F.slice(c, F.lit(1), n - lag), F.slice(c, lag + 1, n - lag)
-        return F.aggregate(F.zip_with(left, right, lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
+def autocorrelation_peak(df: DataFrame, values: Column, low: int, high: int) -> Column:
+    """Largest normalised autocorrelation of an array over the lags ``low..high``; windows of one length are one matrix a batch.
 
-    return F.coalesce(F.try_divide(F.array_max(F.transform(F.sequence(F.lit(low), F.lit(high)), at)), r0), F.lit(0.0))
+    A null window and one without spread give 0; lags beyond the window count as 0.
+    """
+    ship(df.sparkSession)
+
+    @pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            out = np.zeros(len(s))
+            lengths = s.map(lambda v: 0 if v is None else len(v)).to_numpy()
+            for n in np.unique(lengths[lengths > 0]):
+                at = np.flatnonzero(lengths == n)
+                c = np.stack(s.iloc[at].to_list()).astype(float)
+                c -= c.mean(axis=1, keepdims=True)
+                r0 = (c * c).sum(axis=1)
+                r = np.stack([(c[:, : n - k] * c[:, k:]).sum(axis=1) if k < n else np.zeros(len(c)) for k in range(low, high + 1)])
+                out[at] = np.where(r0 > 0, r.max(axis=0) / np.where(r0 > 0, r0, 1.0), 0.0)
+            yield pd.Series(out)
+
+    return run(values)

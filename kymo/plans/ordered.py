@@ -109,7 +109,7 @@ def lagged_xcorr_peak(spark, sf_dir):
  SELECT vec_id, round(max(s)/max(r0),6) AS peak FROM p JOIN z USING (vec_id) GROUP BY 1""")
 def autocorr_peak(spark, sf_dir):
     v = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("a"))
-    return v.select("vec_id", F.round(spectral.autocorrelation_peak(F.col("a"), 8, 37), 6).alias("peak"))
+    return v.select("vec_id", F.round(spectral.autocorrelation_peak(v, F.col("a"), 8, 37), 6).alias("peak"))
 
 
 _SPEC = V_SQL + """, h AS (SELECT vec_id, pos, (x-avg(x) OVER (PARTITION BY vec_id))*(0.54::DOUBLE-0.46::DOUBLE*cos(2*pi()*pos/63)) AS v FROM v),
