@@ -142,6 +142,11 @@ def heavy_join(big: DataFrame, small: DataFrame, keys: list[str], rows: str, tot
     return big.join(F.broadcast(heavy), keys).unionByName(marked.join(small.where(F.col(rows) <= limit), keys))
 
 
+def small(df: DataFrame, rows: int = 1 << 17) -> DataFrame:
+    """``df``, to be broadcast if it has at most ``rows`` rows (of some 100 bytes at most); the other side then stays where it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (shift-multiply), so that sums of hashes spread well."""
     x = x ^ (x >> np.uint64(30))

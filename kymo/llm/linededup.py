@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kymo.llm import neardup
-from kymo.llm.common import SPACE, arrow_map, fresh, heavy_join, maybe_wanted, utf8, without
+from kymo.llm.common import SPACE, arrow_map, fresh, heavy_join, maybe_wanted, small, utf8, without
 from kymo.session import cut, ship
 
 #: Fewest slices in which the filters are merged, most bits of a slice, and bits set per key.
@@ -206,8 +206,8 @@ def long_repeats(df: DataFrame, suspects: DataFrame, id_column: str = "doc_id")
     long = suspects.where("long").select("row", "k1", "k2")
     counts = long.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = cut(heavy_join(long, counts, ["k1", "k2"], "n", suspects.count()).drop("n"), "long")
-    owners = shared.select(F.col("row.hash").alias("h")).distinct()
-    texts = maybe_wanted(_keyed(df, id_column), F.col("row.hash"), owners, "near").where("near").join(owners, F.col("row.hash") == F.col("h"), "left_semi").select("row", "text")
+    owners = cut(shared.select(F.col("row.hash").alias("h")).distinct(), "owners")
+    texts = maybe_wanted(_keyed(df, id_column), F.col("row.hash"), owners, "near").where("near").join(small(owners), F.col("row.hash") == F.col("h"), "left_semi").select("row", "text")
     alike = neardup.link(texts, id_column="row").groupBy("row").agg(F.min("component_id").alias("group"), F.max("kept").alias("kept"))
     placed = cut(shared.join(alike, "row").select("row", "k1", "k2", "group", "kept"), "placed")
     spread = placed.groupBy("k1", "k2").agg(F.min("group").alias("first_group"), F.max("group").alias("last_group"), F.count(F.lit(1)).alias("n")).where("first_group < last_group").drop("last_group")
@@ -245,7 +245,7 @@ def drop_lines(df: DataFrame, min_docs: int = 10, least: int = 1, filter_bits: i
         each = marks.groupBy(F.col("row.hash").alias(h), F.col("row.id").alias(i)).agg(F.collect_set(F.struct("k1", "k2", "first")).alias(drop), F.max("copy").alias(copy))
         each = cut(each, "marks")
         marked = maybe_wanted(rows, F.col(key), each.select(h), near)
-        joined = marked.where(near).join(each, (F.col(key) == F.col(h)) & F.col(id_column).eqNullSafe(F.col(i)), "left").where(~F.coalesce(F.col(copy), F.lit(False)))
+        joined = marked.where(near).join(small(each), (F.col(key) == F.col(h)) & F.col(id_column).eqNullSafe(F.col(i)), "left").where(~F.coalesce(F.col(copy), F.lit(False)))
         rows = joined.select(*rows.columns, drop).unionByName(marked.where(~F.col(near)).select(*rows.columns, F.lit(None).cast(kind).alias(drop)))
     shared = None
     if few:
