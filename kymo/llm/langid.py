@@ -53,9 +53,13 @@ def fit(df: DataFrame, train: Column, sample_rows: int = SAMPLE_ROWS, dictionary
     ``sample_rows`` a language, are fetched by a second read.
     """
     rows = df.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0)).select("lang", F.xxhash64("doc_id").alias("h"), "text")
-    order = Window.partitionBy("lang").orderBy("h")
-    chosen = rows.select("lang", "h").distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample_rows)
-    chosen = cut(chosen, "chosen")
+    # ranges of hashes are counted first, so that only those of the first ones are ranked, not every task's first ones
+    hashes = cut(rows.select("lang", "h").distinct().withColumn("range", F.shiftright("h", 48)), "hashes")
+    before = Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = hashes.groupBy("lang", "range").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    first = counts.where(F.col("before") < sample_rows).select("lang", "range")  # sample_rows ranges a language at most
+    ranked = hashes.join(F.broadcast(first), ["lang", "range"]).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+    chosen = cut(ranked.where(F.col("rank") <= sample_rows).select("lang", "h", "rank"), "chosen")
     fetched = rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "rank").agg(F.min(F.substring("text", 1, dictionary_bytes)).alias("text"))
     texts: dict[str, list[tuple[int, str]]] = {}
     for r in fetched.toLocalIterator():  # sample_rows rows a language
