@@ -39,7 +39,7 @@ E_SQL = """e AS (SELECT user_id, event_id, ts, event_type, value, props, value/(
   CASE WHEN user_id%20<14 THEN 'train' WHEN user_id%20<17 THEN 'valid' ELSE 'test' END AS split FROM events)"""
 W_SQL = E_SQL + """, w AS (SELECT e.user_id, g.wid, min(split) AS split, count(*) AS n, median(value) AS med, avg(prob) AS prob, max(label) AS any_label,
   CASE WHEN avg(label) >= 0.5 THEN 1 ELSE 0 END AS label, CASE WHEN avg(prob) >= 0.5 THEN 1 ELSE 0 END AS pred
-  FROM e JOIN (SELECT unnest(generate_series(0, 1000)) AS wid) g ON e.i BETWEEN g.wid*5 AND g.wid*5+19
+  FROM e JOIN (SELECT unnest(generate_series(0, (SELECT max(i)//5 FROM e))) AS wid) g ON e.i BETWEEN g.wid*5 AND g.wid*5+19
   GROUP BY e.user_id, g.wid HAVING count(*) = 20)"""
 L_SQL = """l AS (SELECT l_orderkey, l_linenumber, l_suppkey, CASE WHEN l_returnflag='R' THEN 1 ELSE 0 END AS label,
   CASE WHEN l_orderkey%20<14 THEN 'train' WHEN l_orderkey%20<17 THEN 'valid' ELSE 'test' END AS split,

@@ -58,6 +58,13 @@ def scratch_root(spark: SparkSession) -> str:
     return _FALLBACK[app]
 
 
+def fresh_folder(spark: SparkSession, tag: str) -> str:
+    """A path in the shared scratch store that nothing has used; ``release_scratch`` deletes what is there."""
+    path = f"{scratch_root(spark)}/kymo-{uuid.uuid4().hex}/{tag}"
+    _WRITTEN.append((spark, path))
+    return path
+
+
 def cut(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared scratch store and read it back.
 
@@ -65,9 +72,8 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
     file sizes give the planner true statistics for later joins.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/kymo-{uuid.uuid4().hex}/{tag}"
+    path = fresh_folder(spark, tag)
     df.write.parquet(path)
-    _WRITTEN.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
