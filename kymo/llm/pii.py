@@ -6,22 +6,27 @@ parts yields code-point positions.  Expressions use possessive repeats and
 look-behinds, so that no text is scanned more than once a kind.
 
 ``disclosing_terms`` then follows information-theoretic sanitisation.  Each
-distinct value found is a protected entity e, each word within ``CONTEXT`` code
-points of it a term t.  Over the whole corpus, with documents as events,
-``PMI(t, e) = log2(n(t, e) N / (n(t) n(e)))`` measures how strongly t reveals e,
-and its share of ``-log2(n(e) / N)`` how much of e.  A term whose share reaches
-``threshold`` is disclosed by its context and becomes a span of kind ``term``
-wherever it stands near e.  No number of documents is asked for: most values
-stand in one, and there a share of 0.9 already means that the term is in at most
-``N ** 0.1`` documents, which by chance has a probability of ``N ** -0.9``.
+distinct value found is a protected entity e, each word of four letters or more
+in a document that holds e, at any distance, a term t.  Over the whole corpus,
+with documents as events, ``PMI(t, e) = log2(n(t, e) N / (n(t) n(e)))`` measures
+how strongly t reveals e, and its share of ``-log2(n(e) / N)`` how much of e.  A
+term whose share reaches ``threshold`` becomes a span of kind ``term`` wherever
+it stands in a document that holds e, outside the values themselves.  No number
+of documents is asked for: most values stand in one, and there a share of 0.9
+means that the term is in at most ``N ** 0.1`` documents.
 ``sanitise`` and ``redact`` generalise such terms to ``[TERM]`` and remove the
-values themselves.  Only words that stand near a value somewhere, told by a
-bitmap, are counted over the corpus.
+values themselves.
+
+Values that stand in the same documents are counted as one class, and so are
+words: their figures are equal, so that a list of many values costs no pair of
+each value and each word.  As ``n(t, e) <= n(e)``, only words in at most
+``n(e) ** threshold * N ** (1 - threshold)`` documents can reach the threshold;
+others are told by a bitmap and leave before they are paired.
 
 Defined cases: null text counts as empty; documents without personal data get
 no spans; spans that start together stand in the order of the kinds; rows are
 told apart by id and text, repeated rows get equal spans and count each as a
-document; a U+0001 in a text counts as any other control character; very long
+document, for n(t), n(e) and n(t, e); words are compared by 64-bit hashes; a U+0001 in a text counts as any other control character; very long
 texts are read whole; other columns are ignored (``redact`` keeps them); an
 empty table gives no rows.
 """
@@ -31,10 +36,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kymo.llm.common import fresh, maybe_wanted
+from kymo.llm.common import fresh, heavy_join, maybe_wanted
 from kymo.session import cut
 
 MARK = "\x01"
+#: Code points around a value that ``detect`` gives beside it; terms are looked for in the whole text.
 CONTEXT = 64
 #: Kind, expression (a run of its first class is entered at its start or right after a match), prefilter.
 KINDS = (
@@ -73,7 +79,12 @@ def _valid(kind: str, x: Column) -> Column:
 
 def find(text: Column, pattern: str, valid=None) -> Column:
     """``array<struct<start, end, value>>``: matches of ``pattern``."""
-    parts = F.split(F.regexp_replace(text, pattern, f"{MARK}$0{MARK}"), MARK, -1)
+    return _marked(F.regexp_replace(text, pattern, f"{MARK}$0{MARK}"), valid)
+
+
+def _marked(text: Column, valid=None) -> Column:
+    """``array<struct<start, end, value>>``: what stands between pairs of marks."""
+    parts = F.split(text, MARK, -1)
     seed = F.struct(F.lit(0).cast("bigint").alias("pos"), F.lit(False).alias("hit"), F.array().cast(_HIT).alias("hits"))
 
     def step(acc: Column, part: Column) -> Column:
@@ -111,36 +122,57 @@ def detect(df: DataFrame, id_column: str = "doc_id") -> DataFrame:
     return found.withColumn("text", F.when(F.size("spans") > 0, F.col("raw"))).drop("raw")
 
 
-def context_terms(found: DataFrame) -> DataFrame:
-    """``id, text_key, entity, term, start, end``: words near each value; words cut by the window's edge are left out."""
-    mentions = found.where(F.size("spans") > 0).select("id", "text_key", F.explode("spans").alias("m"))
-    mentions = mentions.select("id", "text_key", F.xxhash64("m.kind", F.lower("m.value")).alias("entity"), F.col("m.start").alias("at"), F.col("m.end").alias("to"), F.col("m.before").alias("before"), F.col("m.after").alias("after"))
-    full = F.char_length("before") >= CONTEXT
-    inner = F.when(full, F.regexp_replace("before", r"^\p{L}+", "")).otherwise(F.col("before"))
-    head = F.when(F.char_length("after") >= CONTEXT, F.regexp_replace("after", r"\p{L}+$", "")).otherwise(F.col("after"))
-    sides = mentions.select("id", "text_key", "entity", F.explode(F.array(
-        F.struct(inner.alias("text"), (F.col("at") - F.char_length(inner)).alias("base")),
-        F.struct(head.alias("text"), F.col("to").alias("base")),
-    )).alias("side"))
-    words = sides.select("id", "text_key", "entity", F.col("side.base").alias("base"), F.explode(find(F.col("side.text"), TERM)).alias("w"))
-    return words.select("id", "text_key", "entity", F.lower("w.value").alias("term"), (F.col("base") + F.col("w.start")).alias("start"), (F.col("base") + F.col("w.end")).alias("end"))
-
-
-def disclosing_terms(df: DataFrame, terms: DataFrame, threshold: float) -> DataFrame:
-    """``entity, term, share``: the terms that reveal an entity of the corpus beyond the threshold."""
-    n_docs = df.count()
-    pairs = terms.groupBy("entity", "term", "id", "text_key").agg(F.lit(1).alias("one")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te"))
-    entities = terms.groupBy("entity", "id", "text_key").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    pairs = cut(pairs.join(entities, "entity"), "pairs")
-    words = df.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(TERM), F.lit(0)))).alias("term"))
-    near = pairs.select(F.xxhash64("term").alias("t")).distinct()
-    words = maybe_wanted(words, F.xxhash64("term"), near, "near").where("near")
-    corpus = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    joined = pairs.join(corpus, "term")
-    known = -F.log2(F.col("n_e") / F.lit(float(max(n_docs, 1))))
-    pmi = F.log2(F.col("n_te") * F.lit(float(n_docs)) / (F.col("n_t") * F.col("n_e")))
-    share = F.when(known > 0, pmi / known).otherwise(F.lit(0.0))
-    return joined.select("entity", "term", share.alias("share")).where(F.col("share") >= threshold)
+def _term(word: Column) -> Column:
+    return F.xxhash64(F.lower(word))
+
+
+def _terms(text: Column) -> Column:
+    """The distinct terms of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TERM), F.lit(0)), _term))
+
+
+def _places(text: Column, terms: Column) -> Column:
+    """``array<struct<start, end, value>>``: where words of a text are among ``terms``."""
+    parts = F.split(F.regexp_replace(F.translate(text, MARK, "\x03"), TERM, f"{MARK}$0{MARK}"), MARK, -1)
+    marked = F.transform(parts, lambda p, k: F.when((k % 2 == 1) & F.array_contains(terms, _term(p)), F.concat(F.lit(MARK), p, F.lit(MARK))).otherwise(p))
+    return _marked(F.array_join(marked, ""))
+
+
+def disclosing_terms(df: DataFrame, found: DataFrame, threshold: float) -> DataFrame:
+    """``id, text_key, terms`` of the documents with values: the terms that reveal one of theirs beyond the threshold."""
+    n_docs = float(max(df.count(), 1))
+    doc, count = ["id", "text_key"], F.count(F.lit(1))
+    #: Equal for what stands in the same documents.
+    spread = F.struct(F.bit_xor(F.xxhash64(*doc)).alias("a"), F.bit_xor(F.xxhash64(F.lit(1), *doc)).alias("b"))
+    holders = found.where(F.size("spans") > 0)
+
+    entity = F.explode(F.array_distinct(F.transform("spans", lambda s: F.xxhash64(s["kind"], F.lower(s["value"])))))
+    held = cut(holders.select(*doc, entity.alias("entity")).groupBy(*doc, "entity").agg(count.alias("rows")), "held")
+    entities = cut(held.groupBy("entity").agg(spread.alias("e"), F.sum("rows").alias("n_e"), count.alias("n")).where(F.col("n_e") < n_docs), "entities")
+    most = F.col("n_e") * F.pow(F.lit(n_docs) / F.col("n_e"), F.lit(1 - threshold)) * (1 + 1e-6)  # n_t that a share of the threshold allows
+    values = cut(heavy_join(held, entities, ["entity"], "n", held.count()).select(*doc, "rows", "e", "n_e", most.alias("most")).distinct(), "values")
+    limit = values.agg(F.max("most")).first()[0] or 0.0
+
+    own = holders.select(*doc, F.explode(_terms(F.col("text"))).alias("term"))
+    words = df.select(F.explode(_terms(F.col("text"))).alias("term"))
+    corpus = maybe_wanted(words, F.col("term"), own.select("term").distinct(), "near").where("near").groupBy("term").agg(count.alias("n_t"))
+    rare = cut(corpus.where(F.col("n_t") <= limit), "rare")
+    own = cut(maybe_wanted(own, F.col("term"), rare.select("term"), "near").where("near").drop("near").distinct(), "own")
+    terms = cut(own.groupBy("term").agg(spread.alias("t"), count.alias("n")).join(rare, "term"), "terms")
+    placed = cut(heavy_join(own, terms, ["term"], "n", own.count()).drop("n"), "placed")
+
+    def same(a: DataFrame, b: DataFrame) -> Column:
+        return (a["text_key"] == b["text_key"]) & a["id"].eqNullSafe(b["id"])
+
+    classes = placed.select(*doc, "t", "n_t").distinct()
+    pairs = cut(classes.join(values, same(classes, values) & (classes["n_t"] <= values["most"])).select(*[classes[c] for c in (*doc, "t", "n_t")], "rows", "e", "n_e"), "pairs")
+    both = ["e", "n_e", "t", "n_t"]
+    known = -F.log2(F.col("n_e") / F.lit(n_docs))
+    pmi = F.log2(F.col("n_te") * F.lit(n_docs) / (F.col("n_t") * F.col("n_e")))
+    strong = cut(pairs.groupBy(*both).agg(F.sum("rows").alias("n_te"), count.alias("n")).where(pmi / known >= threshold).select(*both, "n"), "strong")
+    told = heavy_join(pairs, strong, both, "n", pairs.count()).select(*doc, "t", "n_t").distinct()
+    hits = placed.join(told, same(placed, told) & (placed["t"] == told["t"]) & (placed["n_t"] == told["n_t"]), "left_semi")
+    return hits.groupBy(*doc).agg(F.collect_list("term").alias("terms"))
 
 
 def sanitise(df: DataFrame, threshold: float = 0.9, id_column: str = "doc_id") -> DataFrame:
@@ -148,13 +180,13 @@ def sanitise(df: DataFrame, threshold: float = 0.9, id_column: str = "doc_id") -
 
     ``clean`` is the text without its values and terms, null where there are none.
     """
-    found = cut(detect(df, id_column), "found")
-    terms = cut(context_terms(found), "terms")
-    flagged = terms.join(disclosing_terms(df, terms, threshold).select("entity", "term"), ["entity", "term"])
-    extra = flagged.groupBy(F.col("id").alias("i"), F.col("text_key").alias("k")).agg(F.collect_set(F.struct("start", "end")).alias("extra"))
-    joined = found.join(extra, F.col("id").eqNullSafe(F.col("i")) & (F.col("text_key") == F.col("k")), "left")
+    found = detect(df, id_column)
+    found = cut(found.withColumn("spans", F.transform("spans", lambda s: s.dropFields("before", "after"))), "found")
+    told = cut(disclosing_terms(df, found, threshold).select(F.col("id").alias("i"), F.col("text_key").alias("k"), "terms"), "told")
+    joined = found.join(told, F.col("id").eqNullSafe(F.col("i")) & (F.col("text_key") == F.col("k")), "left")
+    joined = joined.withColumn("extra", F.when(F.col("terms").isNotNull(), _places(F.col("text"), F.col("terms"))))
     plain = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
-    joined = joined.select("id", "text_key", *[f"n_{k}" for k, _, _ in KINDS], "text", plain.alias("base"), F.coalesce("extra", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("extra"))
+    joined = joined.select("id", "text_key", *[f"n_{k}" for k, _, _ in KINDS], "text", plain.alias("base"), F.coalesce("extra", F.array().cast(_HIT)).alias("extra"))
     free = F.filter("extra", lambda x: ~F.exists("base", lambda b: (x["start"] < b["end"]) & (x["end"] > b["start"])))
     added = F.transform(free, lambda x: F.struct(x["start"].alias("start"), F.lit(len(KINDS)).alias("rank"), x["end"].alias("end"), F.lit("term").alias("kind")))
     done = joined.select("id", "text_key", *[f"n_{k}" for k, _, _ in KINDS], "text", "base", F.array_sort(F.concat("base", added)).alias("spans"))

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 
 import pyarrow as pa
@@ -351,3 +352,40 @@ def test_op5_added_kinds_equal_full_scans(spark, awkward, sf_dir):
         want = sorted((m.start(), k, m.end()) for k, rule in enumerate(secret_scan.RULES) for m in re.finditer(rule.pattern, text or "", re.A) if m.end(rule.group) - m.start(rule.group) >= rule.least)
         assert [(s["kind"], s["start"], s["end"]) for s in r["spans"]] == [(secret_scan.RULES[k].kind, a, b) for a, k, b in want]
         assert bool(want) == (r["id"] < 6)
+
+
+def values_of(text):
+    """(start, end, kind) of the values in a text."""
+    kinds = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+    for kind, pattern in kinds.items():
+        for m in re.finditer(pattern, text):
+            d = re.sub("[^0-9]", "", m[0])
+            if {"email": True, "ip": kind != "ip" or all(int(p) <= 255 for p in m[0].split(".")), "card": 12 <= len(d) <= 19 and luhn(d), "phone": 9 <= len(d) <= 15}[kind]:
+                yield m.start(), m.end(), kind
+
+
+def test_op8_terms_are_those_of_whole_documents(spark, awkward, sf_dir, tmp_path):
+    far = " and then some more of it" * 30
+    rows = [
+        (1, "Zorblatt" + far + " mail kim@corp.org." + far + " ZORBLATT"), (2, "brimful" + "x " * 32 + "kim@corp.org"), (3, "quorn " + "y " * 29 + "lee@corp.org"), (3, "quorn " + "y " * 29 + "lee@corp.org"),
+        (None, far + "\x01 one@a.org two@a.org +1 555 010 9999 glimmer" + far + " Éclairage\x01 (one@a.org)"), (4, "corp glimmer"), (5, "éééjohn@x.org john"),
+        (6, " ".join(f"w{i}@z.org name{'abcdefghij'[i % 10] * (i // 10 + 1)}" for i in range(300))),
+    ] + [(10 + i, far + " team@corp.org signed") for i in range(9)] + [(30 + i, far) for i in range(40)]
+    pq.write_table(pa.table({"doc_id": pa.array([i for i, _ in rows], pa.int64()), "text": [t for _, t in rows]}), tmp_path / "documents.parquet")
+    word = re.compile(r"[^\W\d_]{4,}")
+    for got, docs in [(queries.op8_private_data(spark, str(tmp_path)).collect(), rows), *((got, docs) for got, docs, _ in frames(spark, awkward, sf_dir, queries.op8_private_data))]:
+        n, n_t, n_e, n_te = len(docs), collections.Counter(), collections.Counter(), collections.Counter()
+        held = []
+        for i, text, *_ in docs:
+            text = text or ""
+            spans = list(values_of(text))
+            held.append((i, text, spans, {(k, text[a:b].lower()) for a, b, k in spans}, {w.lower() for w in word.findall(text)}))
+            n_t.update(held[-1][4])
+            n_e.update(held[-1][3])
+            n_te.update((e, t) for e in held[-1][3] for t in held[-1][4])
+        want = []
+        for i, text, spans, values, terms in held:
+            told = {t for t in terms if any(n_e[e] < n and math.log2(n_te[e, t] * n / (n_t[t] * n_e[e])) / -math.log2(n_e[e] / n) >= 0.9 for e in values)}
+            want.append((i, [f"term:{m.start()}:{m.end()}" for m in word.finditer(text) if m[0].lower() in told and not any(m.start() < b and m.end() > a for a, b, _ in spans)]))
+        check([(r["doc_id"], [x for x in r["spans"].split(",") if x.startswith("term")]) for r in got], want)
+    assert any(x for _, x in want)
