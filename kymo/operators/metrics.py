@@ -13,13 +13,15 @@ def long_features(df: DataFrame, keep: list[str], features: list[str]) -> DataFr
     return df.select(*keep, *[F.col(f).cast("double").alias(f) for f in features]).unpivot(keep, features, "feature", "value")
 
 
-def rank_auc(df: DataFrame, keys: list[str], value: str, label: str) -> DataFrame:
+def rank_auc(df: DataFrame, keys: list[str], value: str, label: str, weight: str | None = None) -> DataFrame:
     """Mann-Whitney AUC per group with tied values averaged, from counts per distinct value.
 
     Counting first keeps a hot group out of one sort: only distinct values are
-    ranked, and the counts combine on the map side.
+    ranked, and the counts combine on the map side.  ``weight`` holds the rows
+    that a row stands for.
     """
-    per = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("all"))
+    rows = F.lit(1).cast("long") if weight is None else F.col(weight)
+    per = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.sum(F.col(label).cast("long") * rows).alias("pos"), F.sum(rows).alias("all"))
     w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     ranked = per.withColumn("below", F.coalesce(F.sum("all").over(w), F.lit(0)))
     rank = F.col("below") + (F.col("all") + 1) / F.lit(2.0)

@@ -74,3 +74,45 @@ def test_stability_is_registered_in_full(spark, sf_dir, monkeypatch):
 @pytest.mark.parametrize("name", ["feature_contract", "fir_bandpass", "window_complexity", "group_gain_preselection", "stability_selection", "importance_consistency", "staged_model_search"])
 def test_queries_have_rows(spark, sf_dir, name):
     assert registry.QUERIES[name](spark, sf_dir).count() > 0
+
+
+def _repeats(spark):
+    """Few distinct rows, many times; one row in seven has no good value, one in eleven is NaN."""
+    good = F.when(F.col("id") % 7 == 0, None).when(F.col("id") % 11 == 0, float("nan")).otherwise((F.col("id") * 7919 % 5).cast("double"))
+    return spark.range(4000).select("id", good.alias("good"), (F.col("id") * 104729 % 3).cast("double").alias("noise"), (F.col("id") % 2).alias("fold"), (F.col("id") * 7919 % 10 > 4).cast("int").alias("label"))
+
+
+def _watch(monkeypatch):
+    seen, fit = [], ml.fit_trees
+
+    def watched(train, *a, **k):
+        seen.append((train.count(), train.agg(F.sum(k["weight"])).first()[0] if k.get("weight") else None))
+        return fit(train, *a, **k)
+
+    monkeypatch.setattr(ml, "fit_trees", watched)
+    return seen
+
+
+def test_stability_counts_equal_rows(spark, monkeypatch):
+    d, seen = _repeats(spark), _watch(monkeypatch)
+    rows = selection.stability(d, ["good", "noise"], "label", "id", "fold", 2, seeds=(1, 2), top=1, least_auc=0.0, trees=1, depth=1)
+    valid = d.where("good IS NOT NULL AND NOT isnan(good)").groupBy("fold").count().orderBy(F.desc("fold")).collect()
+    assert [n for _, n in seen] == [r["count"] for r in valid] * 2 and max(n for n, _ in seen) <= 5 * 3 * 2 and rows[0][4] + rows[1][4] == 4
+
+
+def test_permutation_from_counts_equals_rows(spark):
+    d = _repeats(spark)
+    model = ml.fit_trees(d, ["good", "noise"], "label", trees=3, depth=2)
+    got = selection.permutation_importance(model, d, ["good", "noise"], "label", "id", 5)
+    rows = d.withColumn("b", F.pmod(F.xxhash64("id", F.lit(5)), F.lit(selection.BUCKETS))).withColumn("h", F.xxhash64(F.lit(5), "id")).orderBy("b", "h", "id").collect()
+    rings = {}
+    for r in rows:
+        rings.setdefault(r["b"], []).append(r)
+    other = {r["id"]: ring[(k + 1) % len(ring)] for ring in rings.values() for k, r in enumerate(ring)}
+    auc = {}
+    for which in ("", "good", "noise"):
+        table = [(r["label"], *[(other[r["id"]] if f == which else r)[f] for f in ("good", "noise")]) for r in rows]
+        probs = [(s["y"], s["prob"]) for s in ml.score(model, spark.createDataFrame(table, "y int, good double, noise double"), ["good", "noise"]).collect()]
+        ones, zeros = (np.array([p for y, p in probs if y == k]) for k in (1, 0))
+        auc[which] = ((ones[:, None] > zeros).sum() + (ones[:, None] == zeros).sum() / 2) / (len(ones) * len(zeros))
+    assert np.isclose(got[0], auc[""]) and all(np.isclose(got[1][f], auc[""] - auc[f]) for f in ("good", "noise"))
