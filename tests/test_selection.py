@@ -116,3 +116,9 @@ def test_permutation_from_counts_equals_rows(spark):
         ones, zeros = (np.array([p for y, p in probs if y == k]) for k in (1, 0))
         auc[which] = ((ones[:, None] > zeros).sum() + (ones[:, None] == zeros).sum() / 2) / (len(ones) * len(zeros))
     assert np.isclose(got[0], auc[""]) and all(np.isclose(got[1][f], auc[""] - auc[f]) for f in ("good", "noise"))
+
+
+def test_search_counts_equal_rows(spark, monkeypatch):
+    seen = _watch(monkeypatch)
+    rows = selection.staged_search(_repeats(spark), ["good", "noise"], "label", "fold", 2, [{"trees": 1, "depth": 1}, {"trees": 2, "depth": 2}], 1)
+    assert len(rows) == 1 and len(seen) == 3 and max(n for n, _ in seen) <= 5 * 3 * 2 and min(w for _, w in seen) > 1500
