@@ -10,22 +10,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kymo.llm.common import heavy_join
-from kymo.session import cut
+from kymo.session import cut, gathered
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, max_rounds: int = 60, rows: int | None = None) -> DataFrame:
     """``node, component`` for every node of ``edges(a, b)``; the component is its smallest node.
 
     Every round is written to the shared scratch store.  Rounds end when the
     edges form stars; their number grows with the logarithm of a component.
     A hub's edges are joined where they are, not gathered by their node.
+    ``rows`` is the number of edges, where it is known.
     """
     kind = edges.schema["a"].dataType
-    state = cut(_directed(edges.select(F.col("a").cast(kind), F.col("b").cast(kind))), "edges")
+    state = _directed(edges.select(F.col("a").cast(kind), F.col("b").cast(kind)))
+    state = cut(state if rows is None else gathered(state, rows), "edges")
     before = _print(state)
     for k in range(max_rounds):
-        large = cut(_large_star(state, before[0]), f"large{k}")
-        state = cut(_small_star(large, before[0]), f"small{k}")
+        large = cut(gathered(_large_star(state, before[0]), before[0]), f"large{k}")
+        state = cut(gathered(_small_star(large, before[0]), 2 * before[0]), f"small{k}")
         now = _print(state)
         if now == before:
             break

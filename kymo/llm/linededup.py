@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from kymo.llm import neardup
 from kymo.llm.common import SPACE, arrow_map, fresh, heavy_join, maybe_wanted, small, utf8, without
-from kymo.session import cut, ship
+from kymo.session import cut, gathered, ship
 
 #: Fewest slices in which the filters are merged, most bits of a slice, and bits set per key.
 SLICES, SLICE_BITS = 64, 1 << 27
@@ -140,7 +140,8 @@ def seen_twice(df: DataFrame, least: int, filter_bits: int | None = None, max_bi
         yield from done()
 
     parts = df.select("text").mapInArrow(local, "slice int, once binary, twice binary")
-    merged = cut(parts.repartition(slices, "slice").sortWithinPartitions("slice").mapInArrow(merge, "at long"), "twice")
+    merged = parts.repartition(slices, "slice").sortWithinPartitions("slice").mapInArrow(merge, "at long")
+    merged = cut(gathered(merged, HASHES * filter_bits // LINE_BITS, 8), "twice")
     size = min(filter_bits, max_bits, _power(LINE_BITS * merged.count(), 1 << 16))
     folded = F.pmod("at", F.lit(size)) + 1  # the functions below number from one
     maps = merged.select(F.bitmap_bucket_number(folded).alias("bucket"), F.bitmap_bit_position(folded).alias("bit")).groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
@@ -205,14 +206,16 @@ def long_repeats(df: DataFrame, suspects: DataFrame, id_column: str = "doc_id")
     """
     long = suspects.where("long").select("row", "k1", "k2")
     counts = long.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = cut(heavy_join(long, counts, ["k1", "k2"], "n", suspects.count()).drop("n"), "long")
-    owners = cut(shared.select(F.col("row.hash").alias("h")).distinct(), "owners")
+    n_suspects = suspects.count()
+    shared = cut(gathered(heavy_join(long, counts, ["k1", "k2"], "n", n_suspects).drop("n"), n_suspects), "long")
+    n_shared = shared.count()
+    owners = cut(gathered(shared.select(F.col("row.hash").alias("h")).distinct(), n_shared), "owners")
     texts = maybe_wanted(_keyed(df, id_column), F.col("row.hash"), owners, "near").where("near").join(small(owners), F.col("row.hash") == F.col("h"), "left_semi").select("row", "text")
     alike = neardup.link(texts, id_column="row").groupBy("row").agg(F.min("component_id").alias("group"), F.max("kept").alias("kept"))
-    placed = cut(shared.join(alike, "row").select("row", "k1", "k2", "group", "kept"), "placed")
+    placed = cut(gathered(shared.join(alike, "row").select("row", "k1", "k2", "group", "kept"), n_shared), "placed")
     spread = placed.groupBy("k1", "k2").agg(F.min("group").alias("first_group"), F.max("group").alias("last_group"), F.count(F.lit(1)).alias("n")).where("first_group < last_group").drop("last_group")
     first = F.col("group") == F.col("first_group")
-    return heavy_join(placed, spread, ["k1", "k2"], "n", placed.count()).select("row", "k1", "k2", first.alias("first"), (~first & ~F.col("kept")).alias("copy"))
+    return heavy_join(placed, spread, ["k1", "k2"], "n", n_shared).select("row", "k1", "k2", first.alias("first"), (~first & ~F.col("kept")).alias("copy"))
 
 
 def drop_lines(df: DataFrame, min_docs: int = 10, least: int = 1, filter_bits: int | None = None, keep_first: bool = False, id_column: str = "doc_id", long_words: int | None = None, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
@@ -224,8 +227,10 @@ def drop_lines(df: DataFrame, min_docs: int = 10, least: int = 1, filter_bits: i
     """
     df = without(df, "n_lines", "n_dropped")
     suspects = cut(suspected(df, least, id_column, long_words, filter_bits), "suspects")
+    n_suspects = suspects.count()
     exact = suspects.where("NOT long").groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n_docs"), F.min("row").alias("first_row")).where(F.col("n_docs") >= min_docs)
-    exact = cut(exact.withColumn("first_hash", F.col("first_row.hash") if keep_first else F.lit(None).cast("long")).drop("first_row"), "exact")
+    exact = exact.withColumn("first_hash", F.col("first_row.hash") if keep_first else F.lit(None).cast("long")).drop("first_row")
+    exact = cut(gathered(exact, n_suspects // max(min_docs, 1)), "exact")
     names = [f.name for f in df.schema]
     key, drop = fresh(df, "_row"), fresh(df, "_drop")
     rows = df.withColumn(key, F.xxhash64(F.col(id_column), F.col("text")))
@@ -234,7 +239,7 @@ def drop_lines(df: DataFrame, min_docs: int = 10, least: int = 1, filter_bits: i
     if long_words is not None:
         marks = long_repeats(df, suspects, id_column)
     if not few:
-        found = heavy_join(suspects.where("NOT long").select("row", "k1", "k2"), exact, ["k1", "k2"], "n_docs", suspects.count())
+        found = heavy_join(suspects.where("NOT long").select("row", "k1", "k2"), exact, ["k1", "k2"], "n_docs", n_suspects)
         found = found.select("row", "k1", "k2", F.col("first_hash").eqNullSafe(F.col("row.hash")).alias("first"), F.lit(False).alias("copy"))
         marks = found if marks is None else marks.unionByName(found)
     kind = "array<struct<k1:bigint,k2:bigint,first:boolean>>"
@@ -243,7 +248,7 @@ def drop_lines(df: DataFrame, min_docs: int = 10, least: int = 1, filter_bits: i
     else:
         h, i, copy, near = (fresh(rows, x) for x in ("_h", "_i", "_copy", "_near"))
         each = marks.groupBy(F.col("row.hash").alias(h), F.col("row.id").alias(i)).agg(F.collect_set(F.struct("k1", "k2", "first")).alias(drop), F.max("copy").alias(copy))
-        each = cut(each, "marks")
+        each = cut(gathered(each, n_suspects), "marks")
         marked = maybe_wanted(rows, F.col(key), each.select(h), near)
         joined = marked.where(near).join(small(each), (F.col(key) == F.col(h)) & F.col(id_column).eqNullSafe(F.col(i)), "left").where(~F.coalesce(F.col(copy), F.lit(False)))
         rows = joined.select(*rows.columns, drop).unionByName(marked.where(~F.col(near)).select(*rows.columns, F.lit(None).cast(kind).alias(drop)))

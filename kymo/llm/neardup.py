@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from kymo.llm.common import arrow_map, heavy_join, maybe_wanted, mix64, utf8
 from kymo.llm.components import components
-from kymo.session import cut, ship
+from kymo.session import cut, gathered, ship
 
 BANDS, ROWS = 32, 4
 #: Bits of a sketch and size of the MinHash sample folded into it.
@@ -51,6 +51,8 @@ BLOCK = 4096
 _RNG = np.random.default_rng(20240229)
 _MULTIPLY = _RNG.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 _ADD = _RNG.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
+#: Bytes of a class's row, most of them band keys and sketch.
+CLASS_BYTES = 8 * BANDS + SKETCH_BITS // 8 + 64
 #: Bound of a worker's cache of word hashes.
 CACHE_WORDS = 1_000_000
 
@@ -303,7 +305,8 @@ def _second_look(classes: DataFrame, n_classes: int, failed: DataFrame, links: D
 def _shingle_sets(df: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int, id_column: str) -> DataFrame:
     """``rep, shingles`` of the classes in ``pairs``, made again from one row of each."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    wanted = cut(classes.join(ends, "rep", "left_semi").select("row_key", "rep"), "wanted")
+    wanted = cut(gathered(classes.join(ends, "rep", "left_semi").select("row_key", "rep", "n_shingles"), 2 * pairs.count()), "wanted")
+    hashes = wanted.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     texts = maybe_wanted(_keyed(df, id_column), F.col("row_key"), wanted.select("row_key"), "near").where("near").select("row_key", "text")
 
     def hashed():
@@ -316,7 +319,7 @@ def _shingle_sets(df: DataFrame, classes: DataFrame, pairs: DataFrame, shingle:
         return apply
 
     made = arrow_map(texts, "row_key long, shingles binary", hashed).groupBy("row_key").agg(F.min("shingles").alias("shingles"))
-    return cut(wanted.join(made, "row_key").select("rep", "shingles"), "sets")
+    return cut(gathered(wanted.join(made, "row_key").select("rep", "shingles"), hashes, 8), "sets")
 
 
 def confirmed(sets: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
@@ -341,7 +344,7 @@ def confirmed(sets: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame
 def class_links(df: DataFrame, classes: DataFrame, n_classes: int, shingle: int, similarity: float, id_column: str) -> DataFrame:
     """``a, b``: confirmed links of classes, enough to connect every two that are alike."""
     pairs = cut(candidate_pairs(classes, n_classes, similarity), "pairs")
-    judged = cut(confirmed(_shingle_sets(df, classes, pairs, shingle, id_column), pairs, similarity), "judged")
+    judged = cut(gathered(confirmed(_shingle_sets(df, classes, pairs, shingle, id_column), pairs, similarity), pairs.count()), "judged")
     links = judged.where("alike").select("a", "b")
     failed = judged.where("sure AND NOT alike")
     if failed.isEmpty():
@@ -360,13 +363,14 @@ def link(df: DataFrame, shingle: int = 5, similarity: float = 0.8, id_column: st
     signed = cut(signatures(df, shingle, id_column), "signatures")
     grouped = signed.where("sig IS NOT NULL").groupBy("sig").agg(F.min("id").alias("first_id"), F.min("row_key").alias("row_key"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("n_rows"))
     # a class's number is settled once its table is written
-    classes = cut(grouped.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    classes = cut(gathered(grouped, signed.count(), CLASS_BYTES).withColumn("rep", F.monotonically_increasing_id()), "classes")
     n_classes, n_rows = classes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_rows"), F.lit(0))).first()
     links = class_links(df, classes, n_classes, shingle, similarity, id_column)
-    found = components(links)
+    n_links = links.count()
+    found = components(links, rows=n_links)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     linked = classes.select("sig", "rep", "first_id", "n_rows").join(found, F.col("rep") == F.col("node")).drop("node").join(degree, F.col("rep") == F.col("node")).drop("node")
-    linked = cut(linked, "linked")
+    linked = cut(gathered(linked, 2 * n_links), "linked")
     smallest = linked.groupBy("component").agg(F.min("first_id").alias("smallest"), F.count(F.lit(1)).alias("n"))
     named = heavy_join(linked, smallest, ["component"], "n", n_classes).select("sig", "smallest", "n_links", "n_rows")
     alone = classes.join(linked.select(F.col("rep").alias("r")), F.col("rep") == F.col("r"), "left_anti").select("sig", F.col("first_id").alias("smallest"), F.lit(0).cast("long").alias("n_links"), "n_rows")

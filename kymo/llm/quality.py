@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kymo.llm.common import SPACE, arrow_map, fresh, utf8
-from kymo.session import cut
+from kymo.session import cut, gathered
 
 #: Fixed value: the symbols that are counted.
 SYMBOLS = b"#*$%&|<>"
@@ -161,5 +161,5 @@ def passing(df: DataFrame, host_column: str = "source", max_rate: float | None =
     judged = cut(arrow_map(df, schema, make), "judged")
     hosts = host_verdicts(judged.select(F.col(host_column).alias("host"), F.col(failed).alias("base_failed")), max_rate)
     h = fresh(judged, "_host")
-    refused = cut(hosts.where("host_failed").select(F.col("host").alias(h)), "refused")
+    refused = cut(gathered(hosts.where("host_failed").select(F.col("host").alias(h)), judged.count()), "refused")
     return judged.where(~F.col(failed)).join(refused, F.col(host_column).eqNullSafe(F.col(h)), "left_anti").select(*names)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from kymo import session
 from kymo.llm import chat, components, decontam, linededup, mixing, neardup, pii, quality, queries, secret_scan, tokens
 from kymo.sources.tables import table
 
@@ -268,3 +269,62 @@ def test_pipeline_stages_on_awkward_rows(spark, sf_dir):
             docs = spark.createDataFrame(docs.collect(), docs.schema)
         assert sorted((r["doc_id"] or 0) for r in docs.collect()) == ([3, 4] if kept else [])
         assert corpus_pipeline.source_mix(spark, docs, sf_dir).count() == docs.count()
+
+
+def test_small_intermediate_results_are_few_files(spark, monkeypatch):
+    """Every file costs an executor processes: small results do not get one for each shuffle partition."""
+    conf = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    own = " ".join(f"shared{i}" for i in range(60))
+    text = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(99)), lambda k: F.concat(F.lit("f"), F.floor(F.col("id") / 3), F.lit("w"), F.when(k < 99, k).otherwise(100 + F.col("id")))))
+    docs = spark.range(0, 360, 1, 4).select(F.col("id").alias("doc_id"), F.concat_ws("\n", text, F.lit(own)).alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(1).cast("long").alias("n_chars"))
+    docs = session.cut(docs, "docs")
+    files = {}
+    kept = session._WRITTEN
+    monkeypatch.setattr(session, "_WRITTEN", [])
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        lined = corpus_pipeline.line_dedup(spark, docs, "")
+        alone = corpus_pipeline.near_duplicates(spark, docs, "").select("doc_id").collect()
+        for _, path in session._WRITTEN:
+            tag = path.rsplit("/", 1)[1]
+            files[tag] = max(files.get(tag, 0), len(spark.read.parquet(path).inputFiles()))
+        assert (lined.where("n_chars > 1").count(), lined.count()) == (119, 122)  # one row of each other group, without the line
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        kept += session._WRITTEN
+    assert sorted(r["doc_id"] for r in alone) == list(range(0, 360, 3))
+    assert {"classes", "sets", "judged", "small0", "linked", "suspect", "long", "marks"} <= set(files)
+    assert {k: n for k, n in files.items() if k != "pairs" and n > 4} == {}
+
+
+def test_gathered_keeps_rows_and_leaves_much_alone(spark):
+    df = spark.range(0, 5000, 1, 16)
+    assert [session.gathered(df, 5000, width).rdd.getNumPartitions() for width in (8, 1000, 10_000)] == [2, 3, 16]
+    assert session.gathered(df, 5000).agg(F.sum("id")).first()[0] == 5000 * 4999 // 2
+
+
+def test_arrow_batches_are_lowered_and_smaller_ones_stay(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for set_to, then in (("10000", "2048"), ("0", "2048"), ("-1", "2048"), ("100", "100")):
+            spark.conf.set(key, set_to)
+            session.ship(spark)
+            assert spark.conf.get(key) == then
+        batches = spark.range(0, 5000, 1, 1).mapInArrow(lambda it: it, "id long")
+        spark.conf.set(key, "10000")
+        session.ship(spark)
+        sizes = batches.mapInArrow(_sizes, "n long").collect()
+        assert max(r["n"] for r in sizes) <= 2048 and sum(r["n"] for r in sizes) == 5000
+    finally:
+        spark.conf.set(key, before)
+
+
+def _sizes(batches):
+    import pyarrow as pa
+
+    for b in batches:
+        yield pa.RecordBatch.from_pydict({"n": [b.num_rows]}, schema=pa.schema([("n", pa.int64())]))
