@@ -254,9 +254,9 @@ def drop_lines(df: DataFrame, min_docs: int = 10, least: int = 1, filter_bits: i
         rows = joined.select(*rows.columns, drop).unionByName(marked.where(~F.col(near)).select(*rows.columns, F.lit(None).cast(kind).alias(drop)))
     shared = None
     if few:
-        table = exact.select("k1", "k2", "first_hash").toPandas()  # broadcast_keys rows at most
-        first = table["first_hash"].fillna(0).to_numpy(dtype=np.int64) if keep_first else np.zeros(len(table), dtype=np.int64)
-        shared = df.sparkSession.sparkContext.broadcast((table["k1"].to_numpy(dtype=np.int64), table["k2"].to_numpy(dtype=np.int64), first))
+        # broadcast_keys rows at most, as columns: rows would take the driver several times that
+        table = exact.select("k1", "k2", F.coalesce("first_hash", F.lit(0).cast("long")).alias("first")).toArrow()
+        shared = df.sparkSession.sparkContext.broadcast(tuple(table[c].to_numpy() for c in ("k1", "k2", "first")))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", n_lines long, n_dropped long"
 
     def make():

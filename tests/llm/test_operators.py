@@ -328,3 +328,26 @@ def _sizes(batches):
 
     for b in batches:
         yield pa.RecordBatch.from_pydict({"n": [b.num_rows]}, schema=pa.schema([("n", pa.int64())]))
+
+
+def test_driver_takes_dropped_keys_as_columns_and_is_swept(spark, monkeypatch):
+    def rows_in_driver(*a, **k):
+        raise AssertionError("rows in the driver")
+
+    swept = []
+    monkeypatch.setattr(type(spark.range(0)), "toPandas", rows_in_driver)
+    monkeypatch.setattr(session, "sweep", swept.append)
+    rows = [(i, f"same line\nown {i}") for i in range(12)]
+    for keep_first in (False, True):
+        done = linededup.drop_lines(spark.createDataFrame(rows, "doc_id long, text string"), keep_first=keep_first)
+        assert {r["doc_id"]: r["text"] for r in done.collect()} == {i: "same line\nown 0" if keep_first and i == 0 else f"own {i}" for i in range(12)}
+    assert swept
+
+
+def test_sweep_is_not_repeated_at_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(session.gc, "collect", lambda: seen.append(1))
+    monkeypatch.setattr(session, "_SWEPT", {})
+    session.sweep(spark)
+    session.sweep(spark)
+    assert len(seen) == 1
