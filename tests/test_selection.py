@@ -122,3 +122,25 @@ def test_search_counts_equal_rows(spark, monkeypatch):
     seen = _watch(monkeypatch)
     rows = selection.staged_search(_repeats(spark), ["good", "noise"], "label", "fold", 2, [{"trees": 1, "depth": 1}, {"trees": 2, "depth": 2}], 1)
     assert len(rows) == 1 and len(seen) == 3 and max(n for n, _ in seen) <= 5 * 3 * 2 and min(w for _, w in seen) > 1500
+
+
+def test_first_trees_are_those_of_a_smaller_fit(spark):
+    d = _repeats(spark).where("NOT isnan(good)")
+    large, small = (ml.fit_trees(d, ["good", "noise"], "label", trees=n, depth=2) for n in (5, 2))
+    cut = ml.first_trees(large, 2)
+    assert cut.totalNumNodes == small.totalNumNodes and list(cut.treeWeights) == list(small.treeWeights)
+    probs = [[r["prob"] for r in ml.score(m, d, ["good", "noise"]).orderBy("id").collect()] for m in (cut, small, large)]
+    assert probs[0] == probs[1] != probs[2]
+
+
+def test_search_is_registered_in_full(spark, sf_dir, monkeypatch):
+    seen = []
+
+    def measured(df, features, label, fold, k, grid, cache):
+        seen.append((fold, k, {(p["trees"], p["depth"]) for p in grid}))
+        return [{"accuracy": 0.5, "fpr": 0.0, "nodes": p["trees"] * p["depth"]} for p in grid]
+
+    monkeypatch.setattr(selection, "_measured", measured)
+    assert registry.QUERIES["staged_model_search"](spark, sf_dir).count() == 8
+    assert seen[0] == ("fold", 0, {(n, d) for n in range(20, 51, 5) for d in range(2, 6)})
+    assert sorted(s[:2] for s in seen[1:]) == [("fold", 1), ("fold", 2), ("fold2", 0), ("fold2", 1), ("fold2", 2)] and all(len(s[2]) == 8 for s in seen[1:])
